@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table, written
-from . import canonical, ledger, lookalike
+from ..session import table
+from . import canonical, leaks, ledger, lookalike, mixing, spam
 
 LEDGER_BATCHES = 3
 
@@ -47,5 +47,35 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.mapped(typed, "at", "typed", ref).select("at.tbl", "at.row_id", "cat_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p5_found": p5_found}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    tokens = mixing.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return mixing.mix(tokens, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[0].withColumnRenamed("_key", "doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1]
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.spam(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_records": p1_records,
+    "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p7_found": p7_found,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+}
 SQL: dict[str, str] = {}
