@@ -29,9 +29,8 @@ def resolve_conflicts(rows: DataFrame) -> DataFrame:
     """One row per (field, category): of the lowest priority number, the last row's values.
 
     Keywords (and regexes) are united over the last rows in a row that have any; a last row without
-    them has none. Conditions and exceptions of those rows are joined by OR. Groups are folded by
-    ordered aggregates over the rows of the lowest priority only, so a fold carries no more than the
-    rows that can matter.
+    them has none. Words are made distinct before they are gathered, so a group carries no more than
+    the words of its result.
     """
     keyed = rows.select("*", F.concat_ws("|", norm("field_name"), norm("category")).alias("key"), F.coalesce("priority", F.lit(DEFAULT_PRIORITY)).alias("_p"))
     least = keyed.groupBy("key").agg(F.min("_p").alias("_least"), F.min("ord").alias("first_ord"))
@@ -42,10 +41,18 @@ def resolve_conflicts(rows: DataFrame) -> DataFrame:
         F.max(F.when(F.size("rx") == 0, F.col("ord"))).alias("rx_gap"),
         F.max("ord").alias("last_ord"),
     )
-    after = lambda gap: F.col(gap).isNull() | (F.col("ord") > F.col(gap))
-    words = lambda c, gap: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(after(gap), F.col(c))))))
+    live = live.join(last_empty, "key")
+
+    def united(words: str, gap: str) -> DataFrame:
+        after = live.where(F.col(gap).isNull() | (F.col("ord") > F.col(gap)))
+        once = after.select("key", F.explode(words).alias("w")).distinct()
+        return once.groupBy("key").agg(F.array_sort(F.collect_list("w")).alias(words))
+
     scalars = F.max_by(F.struct("field_name", "category", "level", "citation", "source", "_p"), "ord")
-    out = live.join(last_empty, "key").groupBy("key").agg(F.min("first_ord").alias("ord"), scalars.alias("s"), words("kw", "kw_gap").alias("kw"), words("rx", "rx_gap").alias("rx"), F.count("*").alias("n_rows"))
+    one = live.groupBy("key").agg(F.min("first_ord").alias("ord"), scalars.alias("s"), F.count("*").alias("n_rows"))
+    out = one.join(united("kw", "kw_gap"), "key", "left").join(united("rx", "rx_gap"), "key", "left")
+    none = F.array().cast("array<string>")
+    out = out.withColumns({"kw": F.coalesce("kw", none), "rx": F.coalesce("rx", none)})
     return out.select("ord", norm("s.field_name").alias("field"), norm("s.category").alias("category"), norm("s.level").alias("level"), F.array_join("kw", ",").alias("keywords"), F.array_join("rx", "||").alias("regexes"), "s.citation", "s.source", F.col("s._p").alias("priority"), "n_rows")
 
 
