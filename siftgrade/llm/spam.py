@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: Share of a page's characters without clause structure, and share of those that repetition must cover.
 MOST_PROSE, LEAST_REPEATED = 0.5, 0.05
-#: Han characters per function character, and words per function word, at most in running text.
-HAN_SPREAD, WORD_SPREAD = 30, 9
+#: Wide characters per function character, and words per function word, at most in running text.
+HAN_SPREAD, WORD_SPREAD = 35, 9
 #: Least length of a repeated substring in a page mostly of Han characters, and in another.
 LEAST_HAN, LEAST_OTHER = 2, 5
 AUTOMATON_CHARS = 200_000
@@ -36,7 +36,7 @@ FUNCTION_WORDS = (
     "the a an of is are was were to and in that for with by must may not only on from as be it its until unless where when "
     "before after which this these then has have had can should will would into over under at or so if than but"
 ).split()
-_LINK = r"(?i)https?:|www\.|href=|\.(?:example|test|invalid|com|net|org|cn)\b"
+_HOST = r"\.(?:example|test|invalid|com|net|org|cn)\b"
 _SEGMENT = r"(?<=[。！？!?\n])|(?<=[a-z0-9)]\.)(?=\s)"
 
 
@@ -44,13 +44,23 @@ def segments(text: Column) -> Column:
     return F.split(text, _SEGMENT, -1)
 
 
+def has_link(low: Column) -> Column:
+    """Whether a segment in lower case holds a link; the plain searches spare most of them the pattern."""
+    return low.contains("http") | low.contains("www.") | low.contains("href=") | (low.contains(".") & low.rlike(_HOST))
+
+
 def is_prose(seg: Column) -> Column:
-    """Whether a segment has clause structure."""
-    han = F.regexp_count(seg, F.lit("[一-鿿]"))
+    """Whether a segment has clause structure.
+
+    Wide characters are counted by their bytes, function characters by taking them out: both are far
+    cheaper than patterns over every character.
+    """
+    low = F.lower(seg)
+    wide = (F.octet_length(seg) - F.length(seg)) / 2
     words = F.regexp_count(seg, F.lit("[A-Za-zÀ-ɏ]+"))
-    chars = F.regexp_count(seg, F.lit(f"[{FUNCTION_HAN}]"))
-    said = F.regexp_count(F.lower(seg), F.lit(rf"\b(?:{'|'.join(FUNCTION_WORDS)})\b"))
-    return ~seg.rlike(_LINK) & F.when(han >= 2 * words, (chars > 0) & (han <= HAN_SPREAD * chars)).otherwise((said > 0) & (words <= WORD_SPREAD * said))
+    chars = F.length(seg) - F.length(F.translate(seg, FUNCTION_HAN, ""))
+    said = F.regexp_count(low, F.lit(rf"\b(?:{'|'.join(FUNCTION_WORDS)})\b"))
+    return F.when(wide >= 2 * words, (chars > 0) & (wide <= HAN_SPREAD * chars)).otherwise((said > 0) & (words <= WORD_SPREAD * said)) & ~has_link(low)
 
 
 def repeated(text: str, least: int) -> np.ndarray:
@@ -128,14 +138,19 @@ def repeated_share(parts: list[str], bare: list[bool]) -> float:
     return float(covered[mask].mean()) if mask.any() else 0.0
 
 
-def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, bare_share, parts, bare): each page's share without clause structure, and its segments."""
+def measured(docs: DataFrame, key: str, text: str, above: float = -1.0) -> DataFrame:
+    """(_key, bare_share, parts, bare): each page's share without clause structure, and its segments.
+
+    Only pages above the given share. They are picked inside an array: a plain filter would be moved
+    below the projections and compute everything twice.
+    """
     src = docs.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), segments(F.col(text)).alias("parts"))
     src = src.withColumn("bare", F.transform("parts", lambda s: ~is_prose(s)))
-    size = lambda a: F.aggregate(a, F.lit(0), lambda t, x: t + x)
-    all_chars = size(F.transform("parts", F.length))
-    bare_chars = size(F.zip_with("parts", "bare", lambda p, b: F.when(b, F.length(p)).otherwise(0)))
-    return src.select("_key", (bare_chars / all_chars).alias("bare_share"), "parts", "bare")
+    total = lambda a: F.aggregate(a, F.lit(0), lambda t, x: t + x)
+    bare = total(F.zip_with("parts", "bare", lambda p, b: F.when(b, F.length(p)).otherwise(0)))
+    share = bare / total(F.transform("parts", F.length))
+    one = F.array(F.struct(share.alias("bare_share"), "parts", "bare"))
+    return src.select("_key", F.inline(F.filter(one, lambda p: p["bare_share"] > above)))
 
 
 def spam(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -146,6 +161,6 @@ def spam(docs: DataFrame, key: str, text: str) -> DataFrame:
             b["repeated_share"] = [repeated_share(list(p), list(x)) for p, x in zip(b["parts"], b["bare"])]
             yield b[b["repeated_share"] >= LEAST_REPEATED][["_key", "bare_share", "repeated_share"]]
 
-    src = measured(docs, key, text).where(F.col("bare_share") > MOST_PROSE)
+    src = measured(docs, key, text, MOST_PROSE)
     kind = src.schema["_key"].dataType.simpleString()
     return src.mapInPandas(run, f"_key {kind}, bare_share double, repeated_share double").withColumnRenamed("_key", key)
