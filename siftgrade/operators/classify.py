@@ -70,22 +70,21 @@ def by_expression(rows: DataFrame, score_rules: DataFrame, items: DataFrame) ->
         raise ValueError(f"more than {EXPRESSION_RULES} scoring rules; use by_join")
     valid = valid_patterns(spark, _text(rules))
     rules = [r for r in rules if not r.is_regex or r.needle in valid]
-    texts = F.array(*TEXT_VARS)
-    struct = lambda i, r: F.struct(F.lit(i).alias("i"), F.array(*(F.lit(v) for v in r.vars)).alias("vars"), F.lit(r.needle).alias("needle"), F.lit(r.item_tag).alias("item_tag"), F.lit(r.tag).alias("tag"), F.lit(r.weight).cast("decimal(10,1)").alias("weight"))
-    plain = [struct(i, r) for i, r in enumerate(rules) if not r.is_regex]
-    regex = [F.when(F.col("value_text").rlike(r.needle), struct(i, r)) for i, r in enumerate(rules) if r.is_regex]
-    fired = []
-    if plain:
-        fired.append(F.filter(F.array(*plain), lambda r: F.exists(r["vars"], lambda v: F.get(F.col("texts"), v).contains(r["needle"]))))
-    if regex:
-        fired.append(F.filter(F.array(*regex), lambda r: r.isNotNull()))
     at = sorted(items.limit(EXPRESSION_RULES + 1).collect(), key=lambda r: r.ord)
-    if not fired or not at:
+    if not rules or not at:
         return _decided(rows.withColumns({"score": F.lit(0).cast("decimal(20,1)"), "tags": F.lit("")}), F.array(F.struct(F.lit(0).alias("ord"), *(F.lit("\0").alias(c) for c in ("field", "category", "level", "item_tag")), F.lit(0).alias("rank"))))
-    hits = F.array_sort(F.concat(*fired))
-    out = rows.withColumn("texts", texts).withColumn("hits", hits)
-    out = out.withColumn("score", F.aggregate("hits", F.lit(0).cast("decimal(20,1)"), lambda s, r: (s + r["weight"]).cast("decimal(20,1)")))
-    out = out.withColumn("tags", F.array_join(F.array_distinct(F.flatten(F.transform("hits", lambda r: F.array(r["item_tag"], r["tag"])))), " ")).drop("texts", "hits")
+
+    def fires(r) -> Column:
+        test = (lambda v: F.col(v).rlike(r.needle)) if r.is_regex else (lambda v: F.col(v).contains(r.needle))
+        return reduce(lambda a, b: a | b, (test(TEXT_VARS[v]) for v in r.vars))
+
+    # tests are written out, so that they are compiled; what follows from a hit is looked up by its place
+    hits = F.filter(F.array(*(F.when(fires(r), i) for i, r in enumerate(rules))), lambda h: h.isNotNull())
+    weights, tags = F.lit([float(10 * r.weight) for r in rules]), F.lit([f"{r.item_tag}\n{r.tag}" for r in rules])
+    out = rows.withColumn("hits", hits)
+    out = out.withColumn("score", (F.aggregate("hits", F.lit(0.0), lambda s, h: s + F.get(weights, h)) / 10).cast("decimal(20,1)"))
+    named = F.flatten(F.transform("hits", lambda h: F.split(F.get(tags, h), "\n")))
+    out = out.withColumn("tags", F.array_join(F.array_distinct(named), " ")).drop("hits")
     listed = F.array(*(F.struct(F.lit(r.ord).alias("ord"), *(F.lit(r[c]).alias(c) for c in ("field", "category", "level", "item_tag")), F.lit(r["rank"]).alias("rank")) for r in at))
     return _decided(out, listed)
 
