@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 #: Forms in a shard's tree (some 100 bytes each), and shards at most.
 SHARD_FORMS, MAX_SHARDS = 200_000, 64
-#: Edits allowed: at most, as a share of the form's length, and as a share of the entry's own name.
+#: Edits allowed: at most, as a share of the form's length, and, swaps counting once, of the entry's own name.
 MOST_EDITS, FORM_SHARE, NAME_SHARE = 5, 0.4, 0.75
 _BEFORE = re.compile(r"^(?:分类\s*:|可能是|\d+(?:\.\d+)*\.?\s+)")
 _AFTER = re.compile(r"(?:\(旧\)|-请确认|[?]|等|类|数据|相关)$")
@@ -165,10 +165,11 @@ class BKTree:
             todo = [r for r in flat if r not in best]
             edits = np.array([min(most, int(FORM_SHARE / (1 - FORM_SHARE) * len(r))) for r in todo], np.int64)
             for q, node, d in zip(*self.within(todo, edits)):
-                if d <= FORM_SHARE * self.length[node] and d < max(1, NAME_SHARE * self.name[node]) or d == 0:
-                    text, form = todo[q], self.forms[node]
-                    if text not in best or d <= best[text][0]:
-                        rank = (int(d), aligned(text, form) if d else 0, int(self.cat[node]))
+                text, form = todo[q], self.forms[node]
+                if d <= FORM_SHARE * self.length[node] and (text not in best or d <= best[text][0]):
+                    swaps = aligned(text, form) if d else 0
+                    if swaps < max(1, NAME_SHARE * self.name[node]):
+                        rank = (int(d), swaps, int(self.cat[node]))
                         best[text] = min(best.get(text, rank), rank)
         none = (10**6, 0, -1)
         return [(m[2], m[0]) for m in (min((best.get(r, none) for r in rs), default=none) for rs in read)]
