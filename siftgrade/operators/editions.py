@@ -24,7 +24,7 @@ from ..functions.text import strip
 from ..session import written
 
 #: Share of the smaller column's cells that must be found again for the contents to be the same.
-SAME_CONTENTS = 0.5
+SAME_CONTENTS = 0.4
 
 
 def previous_editions(files: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import editions, nested, packed
 from ..session import table, written
+from .sql import strip
 
 _FIELDS = {"patternkeywords": "keywords", "patternregex": "expressions"}
 
@@ -45,4 +46,23 @@ def p6_item_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_dynamic": p2_dynamic, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_item_paths": p6_item_paths}
-SQL: dict[str, str] = {}
+_NAMED = f"""h as (select file_id, trim_name as name, min(i) as pos from (select file_id, {strip('unnest(header)')} as trim_name, generate_subscripts(header, 1) as i from xlsx_files) where trim_name <> '' group by 1, 2),
+s as (select file_id, lag(file_id) over (partition by series order by exported_at nulls first, file_id) as prev_id from xlsx_files where series is not null),
+c as (select file_id, i as pos, c.v as v, c.t as t from (select file_id, unnest(cells) as c, generate_subscripts(cells, 1) as i from xlsx_rows) where c.v is not null and c.v <> ''),
+ty as (select file_id, pos, arg_min(t, (-n, t)) as type from (select file_id, pos, t, count(*) as n from c where t is not null group by all) group by all),
+col as (select h.*, type from h left join ty using (file_id, pos)),
+side as (select s.file_id, s.prev_id, n.name as nn, o.name as oname, n.pos as np, o.pos as op, n.type as nt, o.type as ot from s
+  join (select file_id, name from h union select s.file_id, h.name from s join h on h.file_id = s.prev_id) k on k.file_id = s.file_id
+  left join col n on n.file_id = s.file_id and n.name = k.name left join col o on o.file_id = s.prev_id and o.name = k.name where s.prev_id is not null),
+gone as (select file_id, prev_id, oname, op from side where np is null), come as (select file_id, nn, np from side where op is null),
+vo as (select g.file_id, oname, v, count(*) as n from gone g join c on c.file_id = g.prev_id and c.pos = g.op group by all),
+vn as (select g.file_id, nn, v, count(*) as n from come g join c on c.file_id = g.file_id and c.pos = g.np group by all),
+ren as (select file_id, oname, nn from (select vo.file_id, oname, nn, sum(least(vo.n, vn.n)) as b from vo join vn using (file_id, v) group by all)
+  join (select file_id, oname, sum(n) as so from vo group by all) using (file_id, oname) join (select file_id, nn, sum(n) as sn from vn group by all) using (file_id, nn) where b / least(so, sn) >= 0.4)"""
+SQL = {
+    "p3_found": f"""with {_NAMED}
+select file_id, 'renamed' as drift, oname as old_col, nn as new_col from ren union all
+select file_id, 'removed', oname, '' from gone where (file_id, oname) not in (select file_id, oname from ren) union all
+select file_id, 'added', '', nn from come where (file_id, nn) not in (select file_id, nn from ren) union all
+select file_id, 'retyped', nn, nn from side where np is not null and op is not null and nt <> ot""",
+}
