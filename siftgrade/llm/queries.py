@@ -78,4 +78,18 @@ QUERIES = {
     "p8_shares": p8_shares,
     "p9_found": p9_found,
 }
-SQL: dict[str, str] = {}
+_BARE = "regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_KEYS = f"""k as (select rule_id, fieldname, category, list_sort([{_BARE.format('fieldname')}, {_BARE.format('category')}]) as k from rule_rows
+  where regexp_matches(fieldname, '[^\\s\\p{{Z}}]') and regexp_matches(category, '[^\\s\\p{{Z}}]'))"""
+
+
+def _runs(key: str, tbl: str) -> str:
+    bare = f"select {key}, {_BARE.format('text')} as t from {tbl} where text is not null"
+    return f"select distinct {key}, substring(t, i, 50) as w from (select {key}, t, unnest(generate_series(1, length(t) - 49)) as i from ({bare}))"
+
+
+SQL = {
+    "p1_found": f"with {_KEYS} select keep_id, rule_id from (select rule_id, min(rule_id) over (partition by k) as keep_id from k) where rule_id <> keep_id",
+    "p1_records": f"with {_KEYS} select first_id as rule_id, fieldname, category, copies from (select *, min(rule_id) over (partition by k) as first_id, count(*) over (partition by k) as copies from k) where rule_id = first_id",
+    "p7_found": f"select distinct doc_id, item_id from ({_runs('doc_id', 'documents')}) join ({_runs('item_id', 'eval_items')}) using (w)",
+}
