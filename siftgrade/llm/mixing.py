@@ -126,4 +126,4 @@ def mix(tokens: DataFrame, targets: DataFrame, size: float | None = None) -> tup
     report = goal_rows.join(used, "source", "left").na.fill(0, ["drawn_tokens", "used_records", "most_copies"])
     all_drawn = report.agg(F.sum("drawn_tokens").alias("all"), F.sum(F.when(F.col("tokens") > 0, F.col("target_share"))).alias("weights"))
     report = report.crossJoin(F.broadcast(all_drawn))  # one row
-    return mixture, report.select("source", "target_share", F.when(F.col("tokens") > 0, F.col("target_share") / F.col("weights")).otherwise(0.0).alias("normed_share"), "max_repeats", "tokens", "records", "drawn_tokens", "used_records", "most_copies", F.coalesce(F.try_divide(F.col("drawn_tokens"), F.col("all")), F.lit(0.0)).alias("actual_share"))
+    return mixture, report.select("source", "target_share", F.when(F.col("tokens") > 0, F.coalesce(F.try_divide("target_share", "weights"), F.lit(0.0))).otherwise(0.0).alias("normed_share"), "max_repeats", "tokens", "records", "drawn_tokens", "used_records", "most_copies", F.coalesce(F.try_divide(F.col("drawn_tokens"), F.col("all")), F.lit(0.0)).alias("actual_share"))

@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 MOST_PROSE, LEAST_REPEATED = 0.5, 0.05
 #: Wide characters per function character, and words per function word, at most in running text.
 HAN_SPREAD, WORD_SPREAD = 35, 9
+#: Wide characters per list mark, at least, in running text.
+LIST_MARKS, LIST_SPREAD = " |>、/#\t", 8
 #: Least length of a repeated substring in a page mostly of Han characters, and in another.
 LEAST_HAN, LEAST_OTHER = 2, 5
 AUTOMATON_CHARS = 200_000
 # Function characters and function words.
-FUNCTION_HAN = "的是在不由应按为与将把可并其而以于被者但若须从至所仍曾"
+FUNCTION_HAN = "的是不由应按为与将把可并其而以于被者但若须从至所仍曾一后当如或及且即这那我你他们只没也都还则已让给使需对经除"
 FUNCTION_WORDS = (
     "the a an of is are was were to and in that for with by must may not only on from as be it its until unless where when "
     "before after which this these then has have had can should will would into over under at or so if than but"
@@ -60,7 +62,8 @@ def is_prose(seg: Column) -> Column:
     words = F.regexp_count(seg, F.lit("[A-Za-zÀ-ɏ]+"))
     chars = F.length(seg) - F.length(F.translate(seg, FUNCTION_HAN, ""))
     said = F.regexp_count(low, F.lit(rf"\b(?:{'|'.join(FUNCTION_WORDS)})\b"))
-    return F.when(wide >= 2 * words, (chars > 0) & (wide <= HAN_SPREAD * chars)).otherwise((said > 0) & (words <= WORD_SPREAD * said)) & ~has_link(low)
+    marks = F.length(seg) - F.length(F.translate(seg, LIST_MARKS, ""))
+    return F.when(wide >= 2 * words, (chars > 0) & (wide <= HAN_SPREAD * chars) & (LIST_SPREAD * marks <= wide)).otherwise((said > 0) & (words <= WORD_SPREAD * said)) & ~has_link(low)
 
 
 def repeated(text: str, least: int) -> np.ndarray:
