@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
-from ..operators import classify, evaluate, labels, predicate, rules
+from ..operators import classify, engine, evaluate, labels, predicate, rules
 from ..session import table
 from . import sql
 
@@ -53,6 +54,13 @@ def classify_catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row_id", *_OUT).withColumn("score", F.col("score").cast("double"))
 
 
+def classify_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog decided by the same rules in their executable form."""
+    made = rules.rules_json(*rules.rule_tables(spark.createDataFrame(CATALOG_ITEMS, _ITEM))).orderBy("ord").collect()
+    facts = classify.facts(table(spark, sf_dir, "xlsx_catalog"), "row_id", _ROLES)
+    return engine.run_rules(facts, [json.loads(r.rule) for r in made]).select("row_id", *_OUT).withColumn("score", F.round("score", 1))
+
+
 _CLASSIFY = f"{_CTES} select row_id, score::double as score, tags, category, level, rule_id, marker, confidence, matched from decided"
 
 
@@ -235,6 +243,7 @@ def rows_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "classify_catalog": classify_catalog,
     "classify_catalog_join": classify_catalog_join,
+    "classify_by_rules": classify_by_rules,
     "classify_tables": classify_tables,
     "confidence_split": confidence_split,
     "match_ratio": match_ratio,
@@ -258,6 +267,7 @@ QUERIES = {
 SQL = {
     "classify_catalog": _CLASSIFY,
     "classify_catalog_join": _CLASSIFY,
+    "classify_by_rules": _CLASSIFY,
     "classify_tables": _TABLES_SQL,
     "confidence_split": f"{_CTES} select confidence, level, marker, count(*) as n from decided group by all",
     "match_ratio": f"{_CTES} select count(*) as total, sum(matched::int)::bigint as matched, round(avg(matched::int), 9) as ratio from decided",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftgrade.functions.text import GENERIC_EN
-from siftgrade.operators import classify, predicate, rules
+from siftgrade.operators import classify, engine, predicate, rules
 
 ITEMS = [
     (0, "手机号", "客户/个人/基础身份信息", "S2", "手机号,电话,phone,tel,mobile,number", r"\b1[3-9]\d{9}\b"),
@@ -149,3 +149,40 @@ def test_predicates(spark):
     assert len(predicate.conditions_of(nested)) == 2
     assert predicate.valid_patterns(spark, ["a", "(", "[x"]) == {"a"}
     assert predicate.metadata(spark).count() == 9 + 7 + 5 + 7
+
+
+def test_executable_rules_decide_as_the_tables_do(spark, tmp_path):
+    score, items = rules.rule_tables(spark.createDataFrame(ITEMS, SCHEMA))
+    made = rules.rules_json(score, items).orderBy("ord")
+    path = str(tmp_path / "rules.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump([json.loads(r.rule) for r in made.collect()], f)
+    rows = spark.createDataFrame([c[:5] for c in CASES], "k string, t string, f string, c string, v string")
+    facts = classify.facts(rows, "k", ROLES)
+    got = {r.k: r for r in engine.run_rules(facts, engine.load_rules(spark, path)).collect()}
+    want = {r.k: r for r in classify.by_expression(facts, score, items).collect()}
+    for k, w in want.items():
+        for c in ("tags", "category", "level", "rule_id", "marker", "confidence", "matched"):
+            assert got[k][c] == w[c], (k, c)
+        assert got[k].score == pytest.approx(float(w.score))
+
+
+def test_hand_written_rules(spark):
+    cond = lambda name, op, value: {"any": [{"name": name, "operator": op, "value": value}]}
+    act = lambda name, **params: {"name": name, "params": params}
+    made = [
+        {"conditions": cond("field_name", "contains", "a"), "actions": [act("add_score", value=1.25), act("add_hit", tag="A"), act("append_audit", citation="c", source="s")]},
+        {"conditions": cond("score", "greater_than", 1), "actions": [act("add_score", value=0.5), act("add_hit", tag="B")]},
+        {"conditions": cond("field_name", "matches_regex", "("), "actions": [act("add_score", value=9)]},
+        {"conditions": cond("hit_tags", "contains", "B"), "actions": [act("set_classification", level="S3", rule_id="x-M"), act("set_suggested_category", category="p")]},
+        {"conditions": cond("hit_tags", "contains", "A"), "actions": [act("set_classification", level="S1", rule_id="y-H"), act("set_data_marker", marker="m")]},
+        {"conditions": cond("category_path", "equal_to", "p"), "actions": [act("set_classification", level="S9", rule_id="z"), act("set_category_rule_id", rule_id="w-H")]},
+        {"conditions": cond("field_name", "non_empty", None), "actions": [act("set_suggested_category", category="never run")]},
+    ]
+    rows = spark.createDataFrame([("1", None, "ab", None, None), ("2", None, "b", None, None)], "k string, t string, f string, c string, v string")
+    a, b = engine.run_rules(classify.facts(rows, "k", ROLES), made).orderBy("k").collect()
+    assert (a.score, a.tags, a.level, a.rule_id, a.category, a.marker, a.confidence) == (1.75, "A B", "S1", "w-H", "p", "m", "high")
+    assert a.matched_rule_ids == ["y-H", "x-M", "z"] and json.loads(a.audits) == {"citation": "c", "source": "s"}
+    assert (b.score, b.tags, b.matched, b.confidence) == (0.0, "", False, "low")
+    first = engine.run_rules(classify.facts(rows, "k", ROLES), made, stop_first=True).where("k = '1'").first()
+    assert first.level == "S1" and first.rule_id == "y-H" and first.category == ""
