@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, written
 
-BUCKETS = 64
+BUCKETS = 32
 #: Keys with more than this share of all copies are joined by broadcast; there can be no more than 1/share.
 HOT_SHARE = 1 / 2000
 
