@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, strip, tokens
-from ..session import checked_broadcast
+from ..session import checked_broadcast, spread
 from .predicate import valid_patterns
 from .rules import TEXT_VARS
 
@@ -38,7 +38,7 @@ def facts(rows: DataFrame, key: str, roles: dict[str, str | None], sheet: str =
     """(key, the six text variables) of catalog rows; null and blank are ''."""
     have = lambda role: strip(F.coalesce(F.col(roles[role]).cast("string"), F.lit(""))) if roles.get(role) else F.lit("")
     raw = lambda role, otherwise: F.coalesce(F.col(roles[role]).cast("string"), F.lit(otherwise)) if roles.get(role) else F.lit(otherwise)
-    out = rows.select(F.col(key), have("field_en").alias("field_name"), have("field_cn").alias("_cn"), raw("table", sheet).alias("table_name"), raw("value", "").alias("value_text"))
+    out = spread(rows).select(F.col(key), have("field_en").alias("field_name"), have("field_cn").alias("_cn"), raw("table", sheet).alias("table_name"), raw("value", "").alias("value_text"))
     return out.select(key, tokens("table_name").alias("table_tokens"), tokens("field_name").alias("field_tokens"), "table_name", "field_name", F.coalesce(blank_to_null("_cn"), F.col("field_name")).alias("field_comment"), "value_text")
 
 

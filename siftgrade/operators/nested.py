@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 RECORD = "rec_no int, parent_no int, kind string, val string, variant string, level int, depth int, grade string, path array<string>"
 #: Variants of records, and the fields that their tables have beside the common keys.
 VARIANTS = {
@@ -149,6 +151,7 @@ def flatten(docs: DataFrame, key: str, body: str) -> DataFrame:
                     yield pd.DataFrame([(k, *r) for r in found[i : i + 50_000]], columns=names).astype({"level": "Int32"})
 
     src = docs.select(F.col(key).alias("_key"), F.col(body).alias("_body")).where("_body is not null and _key is not null")
+    src = spread(src)
     kind = src.schema["_key"].dataType.simpleString()
     return src.mapInPandas(run, f"_key {kind}, {RECORD}").withColumnRenamed("_key", key)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, spread
 
 
 def keyword_hits(fragments: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def top_fragments(paths: DataFrame, fragments: DataFrame, shared: list[str], lim
     fragments with score 0.
     """
     words = F.array(*(F.lit(w) for w in dict.fromkeys(shared) if w)).cast("array<string>")
-    base = fragments.select("frag_ord", "text", F.size(F.filter(words, lambda w: F.coalesce(F.col("text"), F.lit("")).contains(w))).alias("common"))
+    base = spread(fragments).select("frag_ord", "text", F.size(F.filter(words, lambda w: F.coalesce(F.col("text"), F.lit("")).contains(w))).alias("common"))
     own = paths.select("path_ord", F.explode(F.array_distinct(F.filter(F.array_except("tokens", words), lambda t: t != ""))).alias("token"))
     hits = keyword_hits(base, own.select("token").distinct())
     mine = own.join(hits, "token").groupBy("path_ord", "frag_ord").agg(F.count("*").alias("own"))

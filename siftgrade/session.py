@@ -35,6 +35,18 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores, for work that is heavy per row.
+
+    Only an input of fewer partitions is redistributed, such as a single small file; a larger one stays
+    as it is read. For frames whose plan has no exchange yet.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no more than that from it."""
     return df.limit(rows + 1).count() <= rows
