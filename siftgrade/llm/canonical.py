@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Forms in a shard's tree (some 100 bytes each), and shards at most.
 SHARD_FORMS, MAX_SHARDS = 200_000, 64
 #: Edits allowed: at most, as a share of the form's length, and, swaps counting once, of the entry's own name.
@@ -187,6 +189,7 @@ def mapped(rows: DataFrame, key: str, value: str, ref: DataFrame) -> DataFrame:
         raise ValueError(f"the reference list needs {shards} shards; {MAX_SHARDS} are allowed")
     src = rows.select(F.col(key).alias("_key"), F.col(value).alias("_value")).where(F.col("_value").rlike(r"(?U)[^\s\x1c-\x1f]"))
     src = src.join(F.broadcast(paths), F.col("_value") == F.col("_path"), "left_anti")
+    src = spread(src)
     kind = src.schema["_key"].dataType.simpleString()
     found = None
     for s in range(shards):

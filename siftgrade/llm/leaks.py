@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 RUN = 50
 GRAM, K1, B = 12, 1.2, 0.75
 #: Passages in letters and digits; they overlap by at least RUN - 1, so each run is inside one.
@@ -156,7 +158,7 @@ def leaked(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str
     shards = max(1, -(-chars // SHARD_CHARS))
     if shards > MAX_SHARDS:
         raise ValueError(f"the items need {shards} shards of the index; {MAX_SHARDS} are allowed")
-    src = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), bare(F.col(text)).alias("_text")).where(F.length("_text") >= RUN)
+    src = spread(docs).where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), bare(F.col(text)).alias("_text")).where(F.length("_text") >= RUN)
     kind, item_kind = src.schema["_key"].dataType.simpleString(), wanted.schema["_item"].dataType.simpleString()
     found = None
     for s in range(shards):

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Letters that look like a Latin letter, by script, each followed by it.
 CYRILLIC = "АA ВB СC ЕE НH ІI ЈJ КK МM ОO РP ЅS ТT УY ҮY ХX ԚQ ԜW аa сc ԁd еe һh іi јj кk ӏl оo рp ԛq ѕs уy үy хx ԝw".split()
 GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa ιi κk νv οo ρp υu χx".split()
@@ -174,7 +176,7 @@ def ordinary(texts: DataFrame, col: str, keep: list[str], seen: dict[int, int] |
     if seen is None:
         seen = {r.cp: r.n for r in frequencies(texts, col).collect()}  # bounded by Unicode
     always, mixed = rewrites(seen)
-    src = texts.where(suspicious(F.col(col))).select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col(col).alias("_t"))
+    src = spread(texts).where(suspicious(F.col(col))).select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col(col).alias("_t"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rewriter = Rewriter(always, mixed)

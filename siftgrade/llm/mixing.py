@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 BITS, LEVELS = 12, 5
@@ -58,6 +58,7 @@ def token_counts(docs: DataFrame, key: str, text: str, source: str, tokenizer: s
             yield b[["_key", "source", "n_tokens"]]
 
     src = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("_text")).where("_key is not null and source is not null and _text <> ''")
+    src = spread(src)
     kind = src.schema["_key"].dataType.simpleString()
     out = src.mapInPandas(count, f"_key {kind}, source string, n_tokens long").where("n_tokens > 0")
     return out.withColumn("h", F.shiftrightunsigned(F.xxhash64("_key"), 64 - BITS * LEVELS))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Share of a page's characters without clause structure, and share of those that repetition must cover.
 MOST_PROSE, LEAST_REPEATED = 0.5, 0.05
 #: Wide characters per function character, and words per function word, at most in running text.
@@ -147,7 +149,7 @@ def measured(docs: DataFrame, key: str, text: str, above: float = -1.0) -> DataF
     Only pages above the given share. They are picked inside an array: a plain filter would be moved
     below the projections and compute everything twice.
     """
-    src = docs.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), segments(F.col(text)).alias("parts"))
+    src = spread(docs).where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), segments(F.col(text)).alias("parts"))
     src = src.withColumn("bare", F.transform("parts", lambda s: ~is_prose(s)))
     total = lambda a: F.aggregate(a, F.lit(0), lambda t, x: t + x)
     bare = total(F.zip_with("parts", "bare", lambda p, b: F.when(b, F.length(p)).otherwise(0)))
