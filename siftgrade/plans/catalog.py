@@ -240,7 +240,19 @@ def rows_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.rows_json(table(spark, sf_dir, "xlsx_catalog"), ["字段名", "字段注释", "字段样本"], ["分类", "分级"])
 
 
+def rule_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many hand-kept rules break the rules for extracted items."""
+    d = table(spark, sf_dir, "dynamic_rules")
+    return evaluate.data_checks(d.select(F.col("fieldname").alias("name"), "level", F.split("patternkeywords", ",").alias("keywords")))
+
+
+_CHECKS = """select 'bad_level' as "check", count(*) filter (where not regexp_matches(coalesce(level, ''), '^(S[0-9]+(-[0-9]+)?)?$')) as n from dynamic_rules union all
+select 'repeated_keyword', count(*) filter (where len(string_split(patternkeywords, ',')) <> len(list_distinct(string_split(patternkeywords, ',')))) from dynamic_rules union all
+select 'empty_name', count(*) filter (where trim(coalesce(fieldname, '')) = '') from dynamic_rules union all
+select 'shared_keyword', count(*) from (select kw from (select fieldname, unnest(string_split(patternkeywords, ',')) as kw from dynamic_rules) group by kw having count(distinct fieldname) > 1)"""
+
 QUERIES = {
+    "rule_checks": rule_checks,
     "classify_catalog": classify_catalog,
     "classify_catalog_join": classify_catalog_join,
     "classify_by_rules": classify_by_rules,
@@ -265,6 +277,7 @@ QUERIES = {
     "rows_export": rows_export,
 }
 SQL = {
+    "rule_checks": _CHECKS,
     "classify_catalog": _CLASSIFY,
     "classify_catalog_join": _CLASSIFY,
     "classify_by_rules": _CLASSIFY,

@@ -59,7 +59,37 @@ vo as (select g.file_id, oname, v, count(*) as n from gone g join c on c.file_id
 vn as (select g.file_id, nn, v, count(*) as n from come g join c on c.file_id = g.file_id and c.pos = g.np group by all),
 ren as (select file_id, oname, nn from (select vo.file_id, oname, nn, sum(least(vo.n, vn.n)) as b from vo join vn using (file_id, v) group by all)
   join (select file_id, oname, sum(n) as so from vo group by all) using (file_id, oname) join (select file_id, nn, sum(n) as sn from vn group by all) using (file_id, nn) where b / least(so, sn) >= 0.4)"""
+_QUOTES = (('"', '"'), ("“", "”"), ("'", "'"), ("「", "」"))
+
+
+def _packed_sql(kind: str, key: str, col: str, tbl: str) -> str:
+    """Values of one field by searches that need no look-around: a quoted value takes its separator along."""
+    plain, more = packed.SEPARATORS[kind]
+    esc = lambda s: s.replace("\n", "\\n").replace("\r", "\\r").replace("\t", "\\t").replace("|", "\\|")
+    inner = lambda q, c: f"(?:[^{q}]|{q}{q})*" if q == c else f"[^{c}]*"
+    ends = f"[{esc(plain + more)}]"
+    lead = r"\s*" if kind == "keywords" else f"[\\s{esc(plain + more)}]*"
+    pattern = "|".join(rf"{lead}{q}{inner(q, c)}{c}\s*(?:{ends}|$)" for q, c in _QUOTES) + f"|[^{esc(plain)}]+"
+    lit = lambda s: "'" + s.replace("'", "''") + "'"
+    value = "t"
+    for q, c in _QUOTES:
+        whole = lit(rf"^{lead}{q}({inner(q, c)}){c}\s*{ends}?$")
+        got = f"regexp_extract(t, {whole}, 1)"
+        got = f"replace({got}, {lit(q + q)}, {lit(q)})" if q == c else got
+        value = f"case when regexp_matches(t, {whole}) then {got} else {value} end"
+    back = strip(f"replace(replace({value}, '\ufdd0', '||'), '\ufdd1', '｜｜')")
+    text = strip(f'"{col}"')
+    marked = f"replace(replace({text}, '||', '\ufdd0'), '｜｜', '\ufdd1')"
+    listed = f"regexp_matches({text}, '^\\[\\s*\"') and json_valid({text})"
+    bare = f"case when {text} like '[%' and {text} like '%]' then substring({marked}, 2, length({marked}) - 2) else {marked} end" if kind == "keywords" else marked
+    values = f"case when {listed} then list_transform(({text})::json::varchar[], lambda t: {strip('t')}) else list_transform(regexp_extract_all({bare}, {lit(pattern)}), lambda t: {back}) end"
+    kept = f"(select {key}, list_filter({values}, lambda t: t <> '') as vs from {tbl} where \"{col}\" is not null)"
+    return f"select {key}, '{col}' as fld, pos::int as pos, val from (select {key}, unnest(vs) as val, generate_subscripts(vs, 1) as pos from {kept} where len(vs) > 1)"
+
+
 SQL = {
+    "p2_found": f"{_packed_sql('keywords', 'rule_id', 'patternkeywords', 'rule_rows')} union all {_packed_sql('expressions', 'rule_id', 'patternregex', 'rule_rows')}",
+    "p2_dynamic": f"{_packed_sql('keywords', 'dyn_id', 'patternkeywords', 'dynamic_rules')} union all {_packed_sql('expressions', 'dyn_id', 'patternregex', 'dynamic_rules')}",
     "p3_found": f"""with {_NAMED}
 select file_id, 'renamed' as drift, oname as old_col, nn as new_col from ren union all
 select file_id, 'removed', oname, '' from gone where (file_id, oname) not in (select file_id, oname from ren) union all
