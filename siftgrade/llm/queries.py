@@ -88,7 +88,23 @@ def _runs(key: str, tbl: str) -> str:
     return f"select distinct {key}, substring(t, i, 50) as w from (select {key}, t, unnest(generate_series(1, length(t) - 49)) as i from ({bare}))"
 
 
+def _plain_sql(x: str) -> str:
+    """Code by code translation, then words, then composed accents; only for texts without other forms to compose."""
+    ones = [(a, b) for a, b, kind in lookalike.pairs() if kind == "always" and len(a) == 1]
+    kept, gone = [(a, b) for a, b in ones if b], "".join(a for a, b in ones if not b)
+    mixed = [(a, b) for a, b, kind in lookalike.pairs() if kind == "mixed" and len(a) == 1]
+    swap = lambda x, ps: f"translate({x}, '{''.join(a for a, _ in ps)}', '{''.join(b for _, b in ps)}')"
+    base = swap(f"translate({x}, '{gone}', '')", kept)
+    letters = r"A-Za-z\x{C0}-\x{24F}\x{370}-\x{3FF}\x{400}-\x{52F}\x{1E00}-\x{1FFF}\x{300}-\x{36F}"
+    latin, greek, cyrillic = r"[A-Za-z\x{C0}-\x{24F}\x{1E00}-\x{1EFF}]", r"[\x{370}-\x{3FF}]", r"[\x{400}-\x{52F}]"
+    other = f"(regexp_matches(w, '{latin}') or (regexp_matches(w, '{greek}') and regexp_matches(w, '{cyrillic}')))"
+    words = f"regexp_extract_all({base}, '[{letters}]+|[^{letters}]+')"
+    return f"nfc_normalize(array_to_string(list_transform({words}, lambda w: case when {other} then {swap('w', mixed)} else w end), ''))"
+
+
 SQL = {
+    "p4_found": f"""select tbl, row_id, plain from (select tbl, row_id, t, {_plain_sql('t')} as plain from
+  (select 'xlsx_catalog' as tbl, row_id, "字段注释" as t from xlsx_catalog union all select 'rule_rows', rule_id, category from rule_rows) where t <> '') where plain <> t""",
     "p1_found": f"with {_KEYS} select keep_id, rule_id from (select rule_id, min(rule_id) over (partition by k) as keep_id from k) where rule_id <> keep_id",
     "p1_records": f"with {_KEYS} select first_id as rule_id, fieldname, category, copies from (select *, min(rule_id) over (partition by k) as first_id, count(*) over (partition by k) as copies from k) where rule_id = first_id",
     "p7_found": f"select distinct doc_id, item_id from ({_runs('doc_id', 'documents')}) join ({_runs('item_id', 'eval_items')}) using (w)",
