@@ -3,8 +3,8 @@
 Sizes are tokens of a public tokenizer over whole texts, counted once and written to the shared folder.
 Every record has a fixed 60-bit hash. A source that must give more than it has is used whole several
 times; the part beyond is the records whose hash is below a threshold. Thresholds come from histograms:
-tokens summed by source and the leading 12 bits, then only the boundary bucket by its next 12 bits, and
-so on until that bucket is a single record, so nothing is sorted and nothing but histograms, of 4096
+tokens summed by source and the leading 10 bits, then only the boundary bucket by its next 10 bits, and
+so on until that bucket is a single record, so nothing is sorted and nothing but histograms, of 1024
 rows a source, reaches the driver. A larger budget keeps all records of a smaller one.
 
 Defined cases: records without text, tokens or source, and of sources without a target, take no part;
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-BITS, LEVELS = 12, 5
+BITS, LEVELS = 10, 6
 #: Texts longer than this are counted in pieces, cut at line ends where there are any.
 PIECE = 100_000
 MAX_SOURCES = 10_000
