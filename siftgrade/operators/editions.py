@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..session import written
+from ..session import checked_broadcast, written
 
 #: Share of the smaller column's cells that must be found again for the contents to be the same.
 SAME_CONTENTS = 0.4
@@ -109,7 +109,8 @@ def correspondences(files: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataF
     come = sides.where("old_pos is null")
     open_old = lost.join(come.select("file_id").distinct(), "file_id", "left_semi").select("file_id", "prev_id", F.col("name").alias("old_col"), "old_pos", "old_type")
     open_new = come.join(lost.select("file_id").distinct(), "file_id", "left_semi").select("file_id", F.col("name").alias("new_col"), "new_pos", "new_type")
-    counts = _cells(rows).groupBy("file_id", "pos", "v").agg(F.count("*").alias("n"))
+    asked = open_old.select(F.col("prev_id").alias("file_id"), F.col("old_pos").alias("pos")).unionByName(open_new.select("file_id", F.col("new_pos").alias("pos"))).distinct()
+    counts = _cells(rows).join(checked_broadcast(asked), ["file_id", "pos"], "left_semi").groupBy("file_id", "pos", "v").agg(F.count("*").alias("n"))
     old = open_old.join(counts.select(F.col("file_id").alias("prev_id"), F.col("pos").alias("old_pos"), "v", F.col("n").alias("old_n")), ["prev_id", "old_pos"])
     new = open_new.join(counts.select("file_id", F.col("pos").alias("new_pos"), "v", F.col("n").alias("new_n")), ["file_id", "new_pos"])
     size = lambda side, c, n: side.groupBy("file_id", c).agg(F.sum(n).alias(f"{n}_all"))
