@@ -36,7 +36,7 @@ def previous_editions(files: DataFrame) -> DataFrame:
     f = files.where("series is not null and file_id is not null").select("file_id", "series", "exported_at", F.date_trunc("month", F.coalesce("exported_at", F.lit("1900-01-01").cast("timestamp"))).alias("month"))
     order = [F.col("exported_at").asc_nulls_first(), F.col("file_id")]
     inside = f.withColumn("prev", F.lag("file_id").over(Window.partitionBy("series", "month").orderBy(*order)))
-    last = f.groupBy("series", "month").agg(F.max_by("file_id", F.struct(F.coalesce(F.col("exported_at").cast("timestamp"), F.lit("1900-01-01").cast("timestamp")), "file_id")).alias("_last"))
+    last = f.groupBy("series", "month").agg(F.max_by("file_id", F.struct("exported_at", "file_id")).alias("_last"))
     last = last.withColumn("before", F.lag("_last").over(Window.partitionBy("series").orderBy("month"))).select("series", "month", "before")
     return inside.join(last, ["series", "month"]).select("file_id", "series", F.coalesce("prev", "before").alias("prev_id"))
 
