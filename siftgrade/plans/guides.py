@@ -299,7 +299,11 @@ QUERIES = {
 }
 from .catalog import _grade_sql  # noqa: E402
 
+_TRAINING = f"""select 'xlsx_catalog' as source, {sql.strip("coalesce(dbname, '')")} as dbname, {sql.strip("coalesce(tablename, '')")} as tablename, {sql.strip("coalesce(字段名, '')")} as fieldname, text, domain, sub1, sub2, {_grade_sql(sql.strip("coalesce(分级, '')"))} as grade
+from xlsx_catalog join ({_COMPOSE}) using (row_id) join ({_PARSE.replace('"分类"', sql.strip('"分类"'))}) using (row_id)
+where ({sql.strip("coalesce(字段名, '')")} <> '' or {sql.strip("coalesce(字段注释, '')")} <> '') and {sql.strip("coalesce(分类, '')")} <> ''"""
 SQL = {
+    "training_records": _TRAINING,
     "clean_text": _CLEAN,
     "title_levels": f"with {_LINES} select doc_id, ord, regexp_extract(line, '^([0-9]+(\\.[0-9]+)*)\\s+', 1) as level from lines where regexp_matches(line, '^[0-9]+(\\.[0-9]+)*\\s+')",
     "paragraphs": _PARAGRAPHS,
