@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast, spread
+from ..sources.chat import extraction_payload
 
 
 def keyword_hits(fragments: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -69,3 +70,20 @@ def restore_order(extracted: DataFrame, seeds: DataFrame) -> DataFrame:
 def payload_chars(parts: DataFrame, group: str, column: str, threshold: int = 120_000) -> DataFrame:
     """(group, chars, single): the size of each group's payload, and whether one call can carry it."""
     return parts.groupBy(group).agg(F.sum(F.length(F.to_json(F.struct(column)))).alias("chars")).withColumn("single", F.col("chars") <= threshold)
+
+
+def request_chars(fragments: DataFrame, paths: DataFrame, levels: DataFrame, group: str, threshold: int = 120_000) -> DataFrame:
+    """(group, chars, single): the size of each group's whole extraction payload, and whether one call can carry it.
+
+    fragments(group, fragment struct), paths(group, path struct) and levels(group, level JSON text). An
+    array's JSON is as long as its elements with a comma between each two, so the length of what
+    chat.extraction_payload writes is summed without gathering a group's texts in a row.
+    """
+    inner = lambda df, size, name: df.groupBy(group).agg((F.sum(size.cast("long")) + F.count("*") - 1).alias(name))
+    out = inner(fragments, F.length(F.to_json("fragment")), "_f")
+    for df, size, name in ((paths, F.length(F.to_json("path")), "_p"), (levels, F.length("level"), "_l")):
+        out = out.join(inner(df, size, name), group, "left")
+    none = F.array().cast("array<string>")
+    frame = extraction_payload(F.col(group), F.struct(none.alias("levels"), none.alias("paths")), none)
+    chars = F.length(frame) + F.col("_f") + F.coalesce("_p", F.lit(0)) + F.coalesce("_l", F.lit(0))
+    return out.select(group, chars.cast("long").alias("chars")).withColumn("single", F.col("chars") <= threshold)

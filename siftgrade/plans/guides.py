@@ -146,9 +146,22 @@ def order_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Characters a call would carry for the guide texts of each domain, and whether one call can."""
-    out = retrieval.payload_chars(table(spark, sf_dir, "documents"), "domain", "page")
-    return out.select("domain", F.col("chars").cast("long").alias("chars"), "single")
+    """Characters a call would carry for the guide texts of each domain, and whether one call can.
+
+    The payload is the domain, the seeds (level definitions, and leaf paths of the merged templates with
+    their items) and the texts with their pages; the SQL below counts the pages alone.
+    """
+    at = F.coalesce("domain", F.lit("general")).alias("domain")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(at, F.struct("text", "page").alias("fragment"))
+    flat, bodies = _flat(spark, sf_dir), table(spark, sf_dir, "gbt_template").select(F.col("tax_id").alias("doc"), at, "body")
+    tree = written(_merged(spark, sf_dir, flat))
+    inside = tree.select("grp", F.slice("path", 1, F.size("path") - 1).alias("path")).distinct()
+    leaf = tree.join(inside, ["grp", "path"], "left_anti").select(F.col("grp").alias("domain"), F.filter("path", lambda p: p != "").alias("path"), F.when(F.size("items") > 0, F.col("items")).alias("items"))
+    paths = leaf.where("size(path) > 0").select("domain", F.struct("path", "items").alias("path"))
+    read = bodies.join(flat.select(F.col("tax_id").alias("doc")).distinct(), "doc", "left_semi")
+    defined = F.coalesce(F.get_json_object("body", "$.levels_definition"), F.get_json_object("body", "$.taxonomy.levels_definition"))
+    levels = read.select("domain", F.regexp_extract(defined, r"(?s)^\[(.*)\]$", 1).alias("level")).where("level <> ''")
+    return retrieval.request_chars(docs, paths, levels, "domain").select("domain", "chars", "single")
 
 
 def hierarchy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,8 +197,8 @@ def tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc", "path_ord", F.array_join("path", "/").alias("path"), F.array_join("items", "|").alias("items"))
 
 
-def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes, items = taxonomy.paths_of(_flat(spark, sf_dir), "tax_id")
+def _merged(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
+    nodes, items = taxonomy.paths_of(_flat(spark, sf_dir) if flat is None else flat, "tax_id")
     of = table(spark, sf_dir, "gbt_template").select(F.col("tax_id").alias("doc"), F.coalesce("domain", F.lit("general")).alias("domain"))
     return taxonomy.merged(nodes.join(of, "doc"), items.join(of, "doc"), F.col("domain"))
 

@@ -1,7 +1,10 @@
+import json
+
 from pyspark.sql import functions as F
 
 from siftgrade.functions import text as T
 from siftgrade.operators import evaluate, fragments, labels, nested, retrieval, taxonomy
+from siftgrade.plans import guides
 
 
 def one(spark, value, f, kind="string"):
@@ -59,6 +62,24 @@ def test_retrieval(spark):
     assert retrieval.payload_chars(frags, "page", "text", 29).orderBy("page").first().single is False
 
 
+def test_payload_sizes_are_those_of_the_whole_payload(spark, tmp_path):
+    docs = [("port", '船 "a"\n\\', 3), ("port", "𠀀é", None), ("port", None, 4), ("agro", "x" * 120_000, 1), ("void", "y", 2)]
+    node = lambda name, **more: {"level": 1, "name": name, **more}
+    levels = [{"code": "S1", "desc": "公开"}, {"code": "S2"}]
+    bodies = [(1, "port", {"levels_definition": levels, "tree": [node("A", items=["no"], children=[node("B", items=["i2", "i1"]), node("C")])]}), (2, "port", {"levels_definition": levels[:1], "tree": [node("A", children=[node("B", items=["i3"])])]}), (3, "agro", [node("D")])]
+    spark.createDataFrame(docs, "domain string, text string, page int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, d, json.dumps(b, indent=1)) for i, d, b in bodies] + [(4, "port", '{"levels_definition": [9], "tree": [')], "tax_id long, domain string, body string").write.parquet(f"{tmp_path}/gbt_template.parquet")
+    seeds = {
+        "port": {"levels": levels + levels[:1], "paths": [{"path": ["A", "B"], "items": ["i1", "i2", "i3"]}, {"path": ["A", "C"]}]},
+        "agro": {"levels": [], "paths": [{"path": ["D"]}]},
+        "void": {"levels": [], "paths": []},
+    }
+    said = {d: {"domain": d, "seeds": s, "fragments": [{"text": t, **({} if p is None else {"page": p})} for x, t, p in docs if x == d and t is not None]} for d, s in seeds.items()}
+    want = {d: len(json.dumps(p, ensure_ascii=False, separators=(",", ":"))) for d, p in said.items()}
+    got = guides.payload_sizes(spark, str(tmp_path)).collect()
+    assert {r.domain: r.chars for r in got} == want and {r.domain: r.single for r in got} == {"port": True, "agro": False, "void": True}
+
+
 def test_trees(spark):
     docs = spark.createDataFrame([(1, '[{"level":1,"name":"X","children":[{"level":2,"name":"Y","items":["b","a"]}]}]'), (2, '[{"level":1,"name":"X","children":[{"level":3,"name":"Y","items":["a","c",""]},{"level":2,"name":"Z"}]}]')], "k int, body string")
     flat = nested.flatten(docs, "k", "body").cache()
