@@ -1,16 +1,23 @@
 """Pages of repeated keywords, links, menus, goods lines or tags instead of sentences.
 
 A page's segments (lines and sentences) show clause structure when function words are as dense in them
-as in running text and no link stands in them. A page qualifies when most of its characters lie in
-segments without clause structure and those characters are covered by substrings that the page
-repeats. The first measure is a built-in expression on every page; the second, for the pages that can
-still qualify, comes from a suffix automaton of the whole page: at every position the longest suffix
-that occurs twice is known from the automaton's states, and the union of those of a least length is
-what repeated maximal substrings cover.
+as in running text and no link stands in them; that is a built-in expression on every page. Substrings
+that the page repeats come from a suffix automaton of the whole page: at every position the longest
+suffix that occurs so often is known from the automaton's states, and the union of those of a least
+length is what they cover. Both decide together:
+
+- characters are suspect in segments without clause structure, and in any segment where keywords stand,
+  substrings that come back at least once per KEYWORD_EVERY characters; most of a page must be suspect;
+- of its suspect letters, repetition must cover LEAST_REPEATED more than in the same characters
+  shuffled, so that names, headings or figures that don't repeat themselves are no spam. Numbers count
+  as one digit here, or goods lines would differ by their prices.
+
+A bound on the keywords' cover, from hashed substrings of the least length, spares most pages the
+automaton without changing a result.
 
 Defined cases: null and empty texts give no row; a page without any repetition is no spam however
-short; pages beyond AUTOMATON_CHARS are measured by repeated substrings of exactly the least length,
-whose union covers the same characters.
+short; one passage over and over is keywords; pages beyond AUTOMATON_CHARS are measured by repeated
+substrings of exactly the least length, whose union covers the same characters.
 """
 
 from __future__ import annotations
@@ -25,14 +32,16 @@ from pyspark.sql import functions as F
 
 from ..session import spread
 
-#: Share of a page's characters without clause structure, and share of those that repetition must cover.
-MOST_PROSE, LEAST_REPEATED = 0.5, 0.05
+#: Share of a page's characters that is suspect at least, and cover by repetition above chance of those.
+MOST_PROSE, LEAST_REPEATED = 0.5, 0.1
+#: Keywords: characters per occurrence at most, occurrences at least, and least lengths in Han and other pages.
+KEYWORD_EVERY, KEYWORD_TIMES, KEYWORD_HAN, KEYWORD_OTHER = 100, 5, 4, 8
 #: Wide characters per function character, and words per function word, at most in running text.
 HAN_SPREAD, WORD_SPREAD = 35, 9
 #: Wide characters per list mark, at least, in running text.
 LIST_MARKS, LIST_SPREAD = " |>、/#\t", 8
-#: Least length of a repeated substring in a page mostly of Han characters, and in another.
-LEAST_HAN, LEAST_OTHER = 2, 5
+#: Lengths of repeated substrings in a page mostly of Han characters, and in another, beside that of chance.
+LENGTHS_HAN, LENGTHS_OTHER = (2, 3, 4), (6,)
 AUTOMATON_CHARS = 200_000
 # Function characters and function words.
 FUNCTION_HAN = "的是不由应按为与将把可并其而以于被者但若须从至所仍曾一后当如或及且即这那我你他们只没也都还则已让给使需对经除"
@@ -68,8 +77,8 @@ def is_prose(seg: Column) -> Column:
     return F.when(wide >= 2 * words, (chars > 0) & (wide <= HAN_SPREAD * chars) & (LIST_SPREAD * marks <= wide)).otherwise((said > 0) & (words <= WORD_SPREAD * said)) & ~has_link(low)
 
 
-def repeated(text: str, least: int) -> np.ndarray:
-    """Which characters substrings of at least this length that occur twice or more cover, by suffix automaton."""
+def reaches(text: str, times: int = 2) -> np.ndarray:
+    """At every position the length of the longest suffix that occurs so often in the text, by suffix automaton."""
     follow: list[dict[str, int]] = [{}]
     link, length, count, at = [-1], [0], [0], []
     last = 0
@@ -105,42 +114,109 @@ def repeated(text: str, least: int) -> np.ndarray:
             count[link[s]] += count[s]
     longest = [0] * len(follow)
     for s in order:
-        longest[s] = length[s] if count[s] > 1 else longest[link[s]]
-    reach = np.fromiter((longest[s] for s in at), np.int64, len(at))
+        longest[s] = length[s] if count[s] >= times else longest[link[s]]
+    return np.fromiter((longest[s] for s in at), np.int64, len(at))
+
+
+def reached(reach: np.ndarray, least: int) -> np.ndarray:
+    """Which characters those suffixes cover, of at least this length."""
     ends = np.flatnonzero(reach >= least)
-    edges = np.zeros(len(text) + 1, np.int64)
+    edges = np.zeros(len(reach) + 1, np.int64)
     np.add.at(edges, ends - reach[ends] + 1, 1)
     np.add.at(edges, ends + 1, -1)
     return np.cumsum(edges[:-1]) > 0
 
 
-def repeated_long(text: str, least: int) -> np.ndarray:
-    """The same for a text too long for an automaton in a task: repeated substrings of exactly this length."""
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(code) - least + 1
-    if n < 2:
-        return np.zeros(len(code), bool)
+def repeated(text: str, least: int, times: int = 2) -> np.ndarray:
+    """Which characters substrings of at least this length that occur so often cover."""
+    return reached(reaches(text, times), least)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _grams(code: np.ndarray, least: int) -> np.ndarray:
+    code = code.astype(np.uint64)
+    n = max(0, len(code) - least + 1)
     grams = np.zeros(n, np.uint64)
     for i in range(least):
-        grams = grams * np.uint64(0x110001) + code[i : i + n] if least <= 3 else grams * np.uint64(0x9E3779B97F4A7C15) + code[i : i + n]
-    _, inverse, n_each = np.unique(grams, return_inverse=True, return_counts=True)
-    starts = np.flatnonzero(n_each[inverse] > 1)
-    edges = np.zeros(len(code) + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + least, -1)
-    return np.cumsum(edges[:-1]) > 0
+        grams = grams * np.uint64(0x110001 if least <= 3 else 0x9E3779B97F4A7C15) + code[i : i + n]
+    return grams
+
+
+def _cover(often: np.ndarray, least: int, n: int) -> np.ndarray:
+    """The characters under the substrings of this length that start where `often` is true."""
+    out = np.zeros(n, bool)
+    for i in range(least if len(often) else 0):
+        out[i : i + len(often)] |= often
+    return out
+
+
+def _repeated_codes(code: np.ndarray, least: int, times: int = 2) -> np.ndarray:
+    _, inverse, n_each = np.unique(_grams(code, least), return_inverse=True, return_counts=True)
+    return _cover(n_each[inverse] >= times, least, len(code))
+
+
+def repeated_long(text: str, least: int, times: int = 2) -> np.ndarray:
+    """The same for a text too long for an automaton in a task: repeated substrings of exactly this length."""
+    return _repeated_codes(_codes(text), least, times)
 
 
 _HAN = re.compile("[一-鿿]")
 
 
-def repeated_share(parts: list[str], bare: list[bool]) -> float:
-    """Of the characters in bare segments, the share that the page's repeated substrings cover."""
+def is_han(text: str) -> bool:
+    return 2 * len(_HAN.findall(text)) >= len(text) - text.count(" ")
+
+
+def keyword_bound(code: np.ndarray, least: int, times: int) -> float:
+    """At least the share that keywords cover: substrings counted by hash, where a collision only adds."""
+    bits = max(13, int(4 * len(code)).bit_length())
+    grams = (_grams(code, least) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+    often = np.bincount(grams, minlength=1)[grams] >= times
+    return float(_cover(often, least, len(code)).mean()) if often.any() else 0.0
+
+
+def keywords(text: str, bare_share: float) -> np.ndarray | None:
+    """Which characters keywords cover; None if they can't make most of the page suspect."""
+    code = _codes(text)
+    least, times = KEYWORD_HAN if is_han(text) else KEYWORD_OTHER, max(KEYWORD_TIMES, -(-len(text) // KEYWORD_EVERY))
+    if bare_share + keyword_bound(code, least, times) <= MOST_PROSE:
+        return None
+    return (repeated if len(text) <= AUTOMATON_CHARS else repeated_long)(text, least, times)
+
+
+def above_chance(text: str, suspect: np.ndarray) -> float:
+    """Of the suspect letters, the share that repetition covers, less what it covers in the characters shuffled."""
+    code = _codes(text)
+    digit = (code >= 48) & (code <= 57)
+    kept = ~(digit & np.concatenate(([False], digit[:-1])))
+    code, suspect = np.where(digit, np.uint32(48), code)[kept], suspect[kept]
+    letter = ((code | 32) >= 97) & ((code | 32) <= 122) | (code >= 0xC0) & ~((code >= 0x2000) & (code < 0x2E80) | (code >= 0x3000) & (code < 0x3040) | (code >= 0xFF00) & (code < 0xFF21))
+    suspect = suspect & letter
+    if not suspect.any():
+        return 0.0
+    share = np.unique(code, return_counts=True)[1] / len(code)
+    same = float((share * share).sum())
+    chance = 1 + int(np.ceil(2 * np.log(len(code)) / -np.log(same))) if same < 1 else 1
+    mixed = np.random.default_rng(0).permutation(code)
+    reach = reaches(code.tobytes().decode("utf-32-le", "surrogatepass")) if len(code) <= AUTOMATON_CHARS else None
+    found = lambda n: _repeated_codes(code, n) if reach is None else reached(reach, n)
+    return max(float(found(n)[suspect].mean()) - float(_repeated_codes(mixed, n).mean()) for n in {*(LENGTHS_HAN if is_han(text) else LENGTHS_OTHER), chance})
+
+
+def judged(parts: list[str], bare: list[bool], bare_share: float) -> tuple[float, float]:
+    """(share of suspect characters, cover of their letters by repetition above chance) of a page."""
     text = "".join(parts)
-    least = LEAST_HAN if 2 * len(_HAN.findall(text)) >= len(text) - text.count(" ") else LEAST_OTHER
-    covered = (repeated if len(text) <= AUTOMATON_CHARS else repeated_long)(text, least)
-    mask = np.repeat(np.array(bare, bool), np.fromiter(map(len, parts), np.int64, len(parts)))
-    return float(covered[mask].mean()) if mask.any() else 0.0
+    keyword = None if bare_share > MOST_PROSE else keywords(text, bare_share)
+    if keyword is None and bare_share <= MOST_PROSE:
+        return bare_share, 0.0
+    suspect = np.repeat(np.array(bare, bool), np.fromiter(map(len, parts), np.int64, len(parts)))
+    if keyword is not None:
+        suspect = suspect | keyword
+    share = float(suspect.mean())
+    return share, above_chance(text, suspect) if share > MOST_PROSE else 0.0
 
 
 def measured(docs: DataFrame, key: str, text: str, above: float = -1.0) -> DataFrame:
@@ -159,13 +235,14 @@ def measured(docs: DataFrame, key: str, text: str, above: float = -1.0) -> DataF
 
 
 def spam(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, bare_share, repeated_share) of the pages that are spam."""
+    """(key, bare_share, suspect_share, repeated_share) of the pages that are spam."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["repeated_share"] = [repeated_share(list(p), list(x)) for p, x in zip(b["parts"], b["bare"])]
-            yield b[b["repeated_share"] >= LEAST_REPEATED][["_key", "bare_share", "repeated_share"]]
+            got = [judged(list(p), list(x), s) for p, x, s in zip(b["parts"], b["bare"], b["bare_share"])]
+            b["suspect_share"], b["repeated_share"] = [s for s, _ in got], [r for _, r in got]
+            yield b[(b["suspect_share"] > MOST_PROSE) & (b["repeated_share"] >= LEAST_REPEATED)][["_key", "bare_share", "suspect_share", "repeated_share"]]
 
-    src = measured(docs, key, text, MOST_PROSE)
+    src = measured(docs, key, text)
     kind = src.schema["_key"].dataType.simpleString()
-    return src.mapInPandas(run, f"_key {kind}, bare_share double, repeated_share double").withColumnRenamed("_key", key)
+    return src.mapInPandas(run, f"_key {kind}, bare_share double, suspect_share double, repeated_share double").withColumnRenamed("_key", key)

@@ -50,3 +50,32 @@ def test_pages(spark):
     got = sorted(r.doc_id for r in spam.spam(df, "doc_id", "text").collect())
     assert got == sorted([i for i, (_, want) in enumerate(PAGES.values()) if want] + [0, 102])
     assert spam.spam(df.limit(0), "doc_id", "text").count() == 0
+
+
+HAN = [chr(c) for c in range(0x4E00, 0x4E00 + 1_500) if chr(c) not in spam.FUNCTION_HAN]
+PICK = random.Random(5)
+WORD = lambda n: "".join(PICK.choice(HAN) for _ in range(n))
+STUFFED = {
+    "names": ("\n".join(f"{WORD(3)} {PICK.randrange(10**10)} {WORD(2)}" for _ in range(40)), False),
+    "figures": ("\n".join(" ".join(str(PICK.randrange(10**5)) for _ in range(6)) for _ in range(30)), False),
+    "words": ("，".join(WORD(PICK.randint(2, 5)) for _ in range(100)), False),
+    "with function characters": ("，".join(f"托盘去向的{w}{i}" for i, w in enumerate(["优惠", "现货", "定制", "加盟", "下载", "排名"] * 6)), True),
+    "with function words": (". ".join(f"the best price of cage weight is {i}{w}" for i, w in enumerate(["low", "new", "hot"] * 10)), True),
+    "half and half": (SENTENCES + "托盘去向的优惠，托盘去向的现货，" * 8, True),
+}
+
+
+def test_both_measures_decide(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(STUFFED.values())], "doc_id long, text string")
+    alone = {r._key: r.bare_share > spam.MOST_PROSE for r in spam.measured(df, "doc_id", "text").collect()}
+    assert alone == {i: not want for i, (_, want) in enumerate(STUFFED.values())}  # the clause test alone is wrong on each
+    got = sorted(r.doc_id for r in spam.spam(df, "doc_id", "text").collect())
+    assert got == [i for i, (_, want) in enumerate(STUFFED.values()) if want]
+
+
+def test_bound_and_times():
+    for _ in range(60):
+        text = "".join(PICK.choice("ab水c") for _ in range(PICK.randint(1, 80)))
+        for times in (2, 5):
+            want = spam.repeated_long(text, 4, times)
+            assert (spam.repeated(text, 4, times) == want).all() and spam.keyword_bound(spam._codes(text), 4, times) >= want.mean()
