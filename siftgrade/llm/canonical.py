@@ -5,8 +5,10 @@ either order) goes into a BK-tree under the Levenshtein distance, a true metric;
 are forms of no entry. The tree is broadcast, in shards when the list is long. Inside each task the
 distinct values of an Arrow batch walk down the tree together: the distances of a whole frontier are
 one vectorised dynamic programme, the triangle inequality prunes children, and every form within the
-threshold is returned. The nearest form wins; shard winners merge by distance. Rows never shuffle
-with a single shard, so a value that a third of all rows hold is no hot key.
+threshold is returned. The nearest form wins. Shards hold disjoint forms, each settled between its
+entries beforehand, and their winners merge by the rank used within one tree, so the size of the list
+changes no result. Rows never shuffle with a single shard, so a value that a third of all rows hold is
+no hot key.
 
 Defined cases: null and blank values, and values that are an entry's path, give no row; values without
 a letter or digit, longer than any form or beyond the threshold mean no entry (-1); ties go to the
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 
 #: Forms in a shard's tree (some 100 bytes each), and shards at most.
 SHARD_FORMS, MAX_SHARDS = 200_000, 64
@@ -158,8 +160,8 @@ class BKTree:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def meant(self, values: list[str]) -> list[tuple[int, int]]:
-        """(cat_id, distance) of each value's nearest form, -1 and a large distance if none is near."""
+    def meant(self, values: list[str]) -> list[tuple[int, int, int]]:
+        """(distance, swap-aware distance, cat_id) of each value's nearest form; a large distance and -1 if none is near."""
         read = [[r for r in readings(v) if len(r) <= self.width + MOST_EDITS] for v in values]
         flat = sorted({r for rs in read for r in rs})
         best: dict[str, tuple] = {}
@@ -174,7 +176,20 @@ class BKTree:
                         rank = (int(d), swaps, int(self.cat[node]))
                         best[text] = min(best.get(text, rank), rank)
         none = (10**6, 0, -1)
-        return [(m[2], m[0]) for m in (min((best.get(r, none) for r in rs), default=none) for rs in read)]
+        return [min((best.get(r, none) for r in rs), default=none) for rs in read]
+
+
+def settled_forms(ref: DataFrame) -> DataFrame:
+    """(form, cat_id, name): every form once, with the entry that has it as within one tree."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(*f, i) for c, p, a in zip(b["cat_id"], b["path"], b["also_called"]) for i, f in enumerate(forms_of(c, p, None if a is None else list(a)))]
+            yield pd.DataFrame(rows, columns=["form", "cat_id", "name", "place"])
+
+    forms = ref.select("cat_id", "path", "also_called").mapInPandas(run, "form string, cat_id long, name int, place int")
+    rank = F.struct(F.col("cat_id") < 0, "cat_id", "place")
+    return forms.groupBy("form").agg(F.min_by(F.struct("cat_id", "name"), rank).alias("m")).select("form", "m.cat_id", "m.name")
 
 
 def mapped(rows: DataFrame, key: str, value: str, ref: DataFrame) -> DataFrame:
@@ -191,23 +206,30 @@ def mapped(rows: DataFrame, key: str, value: str, ref: DataFrame) -> DataFrame:
     src = src.join(F.broadcast(paths), F.col("_value") == F.col("_path"), "left_anti")
     src = spread(src)
     kind = src.schema["_key"].dataType.simpleString()
-    found = None
+    forms, found = None if shards == 1 else written(settled_forms(ref)), None
+    extra = [] if shards == 1 else ["_value", "edits", "swaps"]
+    schema = f"_key {kind}, cat_id int" + (", _value string, edits int, swaps int" if extra else "")
     for s in range(shards):
-        part = ref if shards == 1 else ref.where(F.pmod(F.hash("cat_id"), F.lit(shards)) == s)
-        tree = BKTree([f for r in part.select("cat_id", "path", "also_called").collect() for f in forms_of(*r)])  # at most SHARD_FORMS forms
+        if forms is None:
+            own = [f for r in ref.select("cat_id", "path", "also_called").collect() for f in forms_of(*r)]
+        else:
+            own = [tuple(r) for r in forms.where(F.pmod(F.hash("form"), F.lit(shards)) == s).collect()]  # about SHARD_FORMS at most
+        tree = BKTree(own)
 
         def run(batches: Iterator[pd.DataFrame], tree: BKTree = tree) -> Iterator[pd.DataFrame]:
-            known: dict[str, tuple[int, int]] = {}
+            known: dict[str, tuple[int, int, int]] = {}
             for b in batches:
                 if len(known) > 200_000:
                     known.clear()
                 new = [v for v in b["_value"].unique() if v not in known]
                 known |= zip(new, tree.meant(new))
-                got = [known[v] for v in b["_value"]]
-                yield pd.DataFrame({"_key": b["_key"], "cat_id": [c for c, _ in got], "edits": [e for _, e in got]})
+                b["edits"], b["swaps"], b["cat_id"] = zip(*(known[v] for v in b["_value"])) if len(b) else ([], [], [])
+                yield b[["_key", "cat_id", *extra]]
 
-        one = src.mapInPandas(run, f"_key {kind}, cat_id int, edits int")
+        one = src.mapInPandas(run, schema)
         found = one if found is None else found.unionByName(one)
-    if shards > 1:
-        found = found.groupBy("_key").agg(F.min_by("cat_id", F.struct("edits", "cat_id")).alias("cat_id"))
+    if shards > 1:  # every row comes once from each shard; rows that are equal stay as many
+        best = F.min_by("cat_id", F.struct("edits", "swaps", "cat_id")).alias("cat_id")
+        found = found.groupBy("_key", "_value").agg(best, (F.count("*") / shards).cast("int").alias("_n"))
+        found = found.select("_key", "cat_id", F.explode(F.array_repeat(F.lit(0), F.col("_n"))))
     return found.select(F.col("_key").alias(key), "cat_id")

@@ -50,3 +50,18 @@ def test_shards_merge(spark, monkeypatch):
     ref = spark.createDataFrame(REF, "cat_id int, path string, also_called array<string>")
     df = spark.createDataFrame(list(enumerate(CASES)), "id long, typed string")
     assert {r.id: r.cat_id for r in canonical.mapped(df, "id", "typed", ref).collect()} == dict(enumerate(CASES.values()))
+
+
+def test_shards_change_no_result(spark, monkeypatch):
+    pick = random.Random(8)
+    name = lambda: "".join(pick.choice("abcd") for _ in range(pick.randint(4, 6)))
+    ref = [(1, "xy/zw/harbour", []), (2, "harbour/zw/quay", []), (3, "p/q/abcdefg", []), (4, "p/q/bacdegf", [])] + [(i, f"{name()}/{name()}/{name()}", [name()]) for i in range(10, 60)]
+    upper = [u for _, p, _ in ref for u in p.split("/")]
+    values = ["harbour", "harbour", "abcdegf", *upper, *(name() for _ in range(100))]
+    refs = spark.createDataFrame(ref, "cat_id int, path string, also_called array<string>")
+    rows = [(i, v) for i, v in enumerate(values)] + [(0, "quay"), (0, "quay")]
+    df = spark.createDataFrame(rows, "id long, typed string")
+    one = sorted(map(tuple, canonical.mapped(df, "id", "typed", refs).collect()))
+    monkeypatch.setattr(canonical, "SHARD_FORMS", 150)
+    assert sorted(map(tuple, canonical.mapped(df, "id", "typed", refs).collect())) == one
+    assert (1, 1) in one and [r for r in one if r[0] == 0] == [(0, 1), (0, 2), (0, 2)]
