@@ -7,15 +7,18 @@ object. Each variant is routed to a table of its own with the fields only it has
 keys (document, record number, parent's record number), over which they can be joined or unioned.
 Parsing and numbering need one whole body and run in tasks over Arrow batches; there is no shuffle.
 
-Defined cases: null, blank or incomplete bodies give nothing, nor do bodies nested deeper than the JSON
-parser goes (some thousand levels); a body without a tree gives nothing; null children and items are
-none; remarks, covers and level definitions are no nodes.
+Defined cases: null, blank or incomplete bodies give nothing; bodies nested deeper than the JSON parser
+goes (some thousand levels) are read with a stack instead; a body without a tree gives nothing; null
+children and items are none; remarks, covers and level definitions are no nodes. Paths grow with the
+square of the depth; flatten(paths=False) leaves them null.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,13 +38,89 @@ VARIANTS = {
 }
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+_ATOM = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity")
+
+
+def _stacked(text: str):
+    """What json.loads returns, read with a stack of open lists and objects, at any depth."""
+    at = _SPACE.match(text).end()
+    top: list = []
+    open_, keys = [top], [None]  # the innermost container is last; a key waits beside an object
+
+    def broken():
+        return json.JSONDecodeError("no JSON", text, at)
+
+    def key_at(at: int) -> tuple[str, int]:
+        if text[at : at + 1] != '"':
+            raise broken()
+        key, at = scanstring(text, at + 1, True)
+        at = _SPACE.match(text, at).end()
+        if text[at : at + 1] != ":":
+            raise broken()
+        return key, _SPACE.match(text, at + 1).end()
+
+    def put(value) -> None:
+        if isinstance(open_[-1], dict):
+            open_[-1][keys[-1]] = value
+        else:
+            open_[-1].append(value)
+
+    while True:  # at the start of a value
+        c = text[at : at + 1]
+        if c in ("[", "{") and c:
+            value = [] if c == "[" else {}
+            put(value)
+            at = _SPACE.match(text, at + 1).end()
+            if text[at : at + 1] == ("]" if c == "[" else "}"):
+                at += 1
+            else:
+                open_.append(value)
+                keys.append(None)
+                if c == "{":
+                    keys[-1], at = key_at(at)
+                continue
+        elif c == '"':
+            value, at = scanstring(text, at + 1, True)
+            put(value)
+        elif m := _ATOM.match(text, at):
+            put(json.loads(m.group()))
+            at = m.end()
+        else:
+            raise broken()
+        while True:  # after a value
+            at = _SPACE.match(text, at).end()
+            if len(open_) == 1:
+                if at < len(text):
+                    raise broken()
+                return top[0]
+            c, inside = text[at : at + 1], open_[-1]
+            if c == ",":
+                at = _SPACE.match(text, at + 1).end()
+                if isinstance(inside, dict):
+                    keys[-1], at = key_at(at)
+                break
+            if c != ("}" if isinstance(inside, dict) else "]"):
+                raise broken()
+            at += 1
+            open_.pop()
+            keys.pop()
+
+
+def _loads(text: str):
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _stacked(text)
+
+
 def _listed(value):
     """children or items as a list; a lone string or object is a list of one, JSON text is read."""
     if value is None:
         return []
     if isinstance(value, str) and value.lstrip()[:1] in ("[", "{"):
         try:
-            value = json.loads(value)
+            value = _loads(value)
         except ValueError:
             pass
     return value if isinstance(value, list) else [value]
@@ -88,7 +167,7 @@ def roots_of(body) -> list:
         if isinstance(body, str):
             if body.lstrip()[:1] not in ("[", "{"):
                 return [body]
-            body = json.loads(body)
+            body = _loads(body)
             states = classify(body)
         if not isinstance(body, dict) or states[id(body)] != "envelope":
             break
@@ -107,46 +186,46 @@ def _name(node: dict) -> tuple[str, str]:
     return "", "node_unnamed"
 
 
-def records(body: str | None) -> list[tuple]:
-    """The records of one body in order: a node, its items, then each of its children likewise."""
+def records(body: str | None, paths: bool = True) -> list[tuple]:
+    """The records of one body in order: a node, its items, then each of its children likewise; paths=False leaves path null."""
     if body is None or not body.strip():
         return []
     try:
-        roots = roots_of(json.loads(body))
-    except (ValueError, RecursionError):
+        roots = roots_of(_loads(body))
+    except ValueError:
         return []
     out: list[tuple] = []
-    todo = [(r, 0, ()) for r in reversed(roots)]
+    todo = [(r, 0, (), 1) for r in reversed(roots)]
     while todo:
-        node, parent, path = todo.pop()
+        node, parent, path, depth = todo.pop()
         no = len(out) + 1
         if isinstance(node, str):
-            out.append((no, parent, "node", node, "node_text", None, len(path) + 1, None, [*path, node]))
+            out.append((no, parent, "node", node, "node_text", None, depth, None, [*path, node] if paths else None))
             continue
         if not isinstance(node, dict):
             continue
         name, variant = _name(node)
-        path = (*path, name)
+        path = (*path, name) if paths else path
         level = node.get("level")
-        out.append((no, parent, "node", name, variant, level if type(level) is int else None, len(path), None, list(path)))
+        out.append((no, parent, "node", name, variant, level if type(level) is int else None, depth, None, list(path) if paths else None))
         for item in _listed(node.get("items")):
             if isinstance(item, str):
-                out.append((len(out) + 1, no, "item", item, "item_text", None, len(path) + 1, None, None))
+                out.append((len(out) + 1, no, "item", item, "item_text", None, depth + 1, None, None))
             elif isinstance(item, dict):
                 label, grade = item.get("name"), item.get("grade")
-                out.append((len(out) + 1, no, "item", label if isinstance(label, str) else "", "item_object", None, len(path) + 1, grade if isinstance(grade, str) else None, None))
-        todo += [(c, no, path) for c in reversed(_listed(node.get("children")))]
+                out.append((len(out) + 1, no, "item", label if isinstance(label, str) else "", "item_object", None, depth + 1, grade if isinstance(grade, str) else None, None))
+        todo += [(c, no, path, depth + 1) for c in reversed(_listed(node.get("children")))]
     return out
 
 
-def flatten(docs: DataFrame, key: str, body: str) -> DataFrame:
-    """(key, rec_no, parent_no, kind, val, variant, level, depth, grade, path) of every body."""
+def flatten(docs: DataFrame, key: str, body: str, paths: bool = True) -> DataFrame:
+    """(key, rec_no, parent_no, kind, val, variant, level, depth, grade, path) of every body; paths=False leaves path null."""
     names = ["_key", *(f.split()[0] for f in RECORD.split(", "))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for k, text in zip(b["_key"], b["_body"]):
-                found = records(text)
+                found = records(text, paths)
                 for i in range(0, len(found), 50_000):
                     yield pd.DataFrame([(k, *r) for r in found[i : i + 50_000]], columns=names).astype({"level": "Int32"})
 

@@ -29,13 +29,13 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("fields", F.to_json("fields"))
 
 
-def p6_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    flat = nested.flatten(table(spark, sf_dir, "gbt_template"), "tax_id", "body")
+def p6_tables(spark: SparkSession, sf_dir: str, paths: bool = True) -> dict[str, DataFrame]:
+    flat = nested.flatten(table(spark, sf_dir, "gbt_template"), "tax_id", "body", paths)
     return nested.subtype_tables(written(flat, "variant"), "tax_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.supertype(p6_tables(spark, sf_dir), "tax_id")
+    return nested.supertype(p6_tables(spark, sf_dir, paths=False), "tax_id")
 
 
 def p6_item_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

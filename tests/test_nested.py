@@ -34,3 +34,25 @@ def test_tables(spark):
     top = nested.supertype(nested.subtype_tables(flat, "tax_id"), "tax_id")
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, flat.select("tax_id", "rec_no", "parent_no", "kind", "val").collect()))
     assert nested.flatten(df.limit(0), "tax_id", "body").count() == 0
+
+
+def test_bodies_deeper_than_the_parser(spark):
+    deep = '{"name":"n","children":[' * 30_000 + '"leaf"' + "]}" * 30_000
+    got = nested.records(deep, paths=False)
+    assert len(got) == 30_001 and got[-1][:4] == (30_001, 30_000, "node", "leaf") and got[-1][6] == 30_001
+    assert nested.records(json.dumps({"tree": deep}), paths=False) == got
+    for broken in (deep[:-1], deep + "x", deep.replace('"leaf"', "leaf"), deep.replace('"leaf"', '"leaf",')):
+        assert nested.records(broken, paths=False) == []
+    df = spark.createDataFrame([(1, deep)], "tax_id long, body string")
+    assert nested.flatten(df, "tax_id", "body", paths=False).count() == 30_001
+
+
+def test_reader_with_a_stack_reads_as_json_does():
+    for text in (' {"a": [1, -2.5e3, true, null, "q\\u4e00\\n"], "b": {}, "c": [], "a": {"d": [[], {}]}} ', "3", '"x"', "[[1],[2]]", "[]"):
+        assert nested._stacked(text) == json.loads(text)
+    for text in ("", "[1,]", "{,}", '{"a"}', '{"a":1,}', "[1 2]", "01", "[}", "]", '{"a":}', '"x', "[1]]", "tru"):
+        try:
+            nested._stacked(text)
+        except ValueError:
+            continue
+        raise AssertionError(text)
