@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+#: All Unicode white space, line ends and separator controls included.
+SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 GENERIC_EN = (  # fixed values
-    "id num no code name nm first last username user account acct acc key value data info desc "
+    "id no num code name nm first last username user account acct acc key value data info desc "
     "note text content status type flag lat lng lon long loc location"
 ).split()
 
@@ -18,7 +19,7 @@ def col(x: Column | str) -> Column:
 
 def strip(x: Column | str) -> Column:
     """Without white space at either end, Unicode spaces and line ends included."""
-    return F.regexp_replace(col(x), _EDGE, "")
+    return F.btrim(col(x), F.lit(SPACE))
 
 
 def norm(x: Column | str) -> Column:

@@ -1,16 +1,19 @@
 """Deeply nested templates as flat, typed tables that keep the links between parent and child.
 
-A bottom-up tree automaton classifies every JSON value of a body by its own kind and keys and by the
-states of the values below it; the state decides which variant a record is of: a node named by `name`,
-by another key, or not at all, a node written as a lone string, an item written as a string or as an
-object. Each variant is routed to a table of its own with the fields only it has; all keep the common
-keys (document, record number, parent's record number), over which they can be joined or unioned.
-Parsing and numbering need one whole body and run in tasks over Arrow batches; there is no shuffle.
+A bottom-up tree automaton gives every object, list and string of a body a state, from its own kind and
+keys and from the states below it: text, leaf (an object with hardly more than a name), node_named,
+node_keyed, node_unnamed, forest, envelope, other. The run decides everything that follows: which
+envelopes are opened, whether a body is a tree at all, whether a list is entered, and, by state and the
+place it is found in (below `children` or `items`), which variant a record is of. Each variant is routed
+to a table of its own with the fields only it has; all keep the common keys (document, record number,
+parent's record number), over which they can be joined or unioned. Parsing and numbering need one whole
+body and run in tasks over Arrow batches; there is no shuffle.
 
 Defined cases: null, blank or incomplete bodies give nothing; bodies nested deeper than the JSON parser
-goes (some thousand levels) are read with a stack instead; a body without a tree gives nothing; null
-children and items are none; remarks, covers and level definitions are no nodes. Paths grow with the
-square of the depth; flatten(paths=False) leaves them null.
+goes (some thousand levels) are read with a stack instead, under any number of envelopes; a body without
+a tree gives nothing; unread() reports all of these with the reason. Null children and items are none;
+remarks, covers and level definitions are no nodes. Paths grow with the square of the depth;
+flatten(paths=False) leaves them null.
 """
 
 from __future__ import annotations
@@ -20,13 +23,14 @@ import re
 from collections.abc import Iterator
 from json.decoder import scanstring
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
 
 RECORD = "rec_no int, parent_no int, kind string, val string, variant string, level int, depth int, grade string, path array<string>"
+_ARROW = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string())]
 #: Variants of records, and the fields that their tables have beside the common keys.
 VARIANTS = {
     "node_named": ["val", "level", "depth", "path"],
@@ -36,7 +40,15 @@ VARIANTS = {
     "item_text": ["val", "depth"],
     "item_object": ["val", "grade", "depth"],
 }
-
+#: Keys under which the automaton goes down; JSON text found there is read.
+PLACES = ("taxonomy", "tree", "children", "items")
+#: The variant of a value by where it is found and its state; others are no records.
+AS_NODE = {"text": "node_text", "leaf": "node_named", "node_named": "node_named", "node_keyed": "node_keyed", "node_unnamed": "node_unnamed", "other": "node_unnamed", "envelope": "node_unnamed"}
+AS_ITEM = {"text": "item_text"} | dict.fromkeys(("leaf", "node_named", "node_keyed", "node_unnamed", "other", "envelope"), "item_object")
+#: States of a body that is a tree, or a forest of trees.
+TREES = ("text", "leaf", "node_named", "node_keyed", "node_unnamed", "forest")
+#: Records a batch holds at most before it leaves the task.
+BATCH = 50_000
 
 _SPACE = re.compile(r"[ \t\n\r]*")
 _ATOM = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity")
@@ -114,76 +126,71 @@ def _loads(text: str):
         return _stacked(text)
 
 
-def _listed(value):
-    """children or items as a list; a lone string or object is a list of one, JSON text is read."""
-    if value is None:
-        return []
-    if isinstance(value, str) and value.lstrip()[:1] in ("[", "{"):
-        try:
-            value = _loads(value)
-        except ValueError:
-            pass
-    return value if isinstance(value, list) else [value]
+def _level_key(node: dict) -> str | None:
+    """The value of the first levelN key that holds a string; '' if there are only others, None if there are none."""
+    found = None
+    for key, value in node.items():
+        if key.startswith("level") and key[5:].isdigit():
+            if isinstance(value, str):
+                return value
+            found = ""
+    return found
 
 
-def _state(value, below: dict[int, str]) -> str:
-    """The automaton's transition: a value's state from its kind, its keys and the states below it."""
+def transition(value, below: dict[str, str | None]) -> str | None:
+    """The state of a value, from its kind and keys, and from the states of what stands in its PLACES."""
     if isinstance(value, str):
-        return "text" if value.lstrip()[:1] not in ("[", "{") else "packed"
-    if isinstance(value, list):
-        return "forest" if any(below.get(id(v)) in ("node", "text", "leaf") for v in value) else "list"
-    if not isinstance(value, dict):
-        return "scalar"
-    if "tree" in value or below.get(id(value.get("taxonomy"))) == "envelope":
-        return "envelope"
-    if "children" in value or "items" in value or "level" in value or any(_is_level_key(k) for k in value):
-        return "node"
-    return "leaf" if "name" in value else "other"
-
-
-def _is_level_key(key: str) -> bool:
-    return key.startswith("level") and key[5:].isdigit()
-
+        return "text"
+    if isinstance(value, dict):
+        if below.get("tree") in TREES or below.get("tree") == "envelope" or below.get("taxonomy") == "envelope":
+            return "envelope"
+        holds = "children" in value or "items" in value or "level" in value
+        keyed = None if holds and isinstance(value.get("name"), str) else _level_key(value)
+        if isinstance(value.get("name"), str):
+            return "node_named" if holds or keyed is not None else "leaf"
+        if keyed:
+            return "node_keyed"
+        return "node_unnamed" if holds or keyed is not None else "other"
+    return None
+
+
+def run(body) -> tuple[object, dict[int, str | None]]:
+    """(body, states): the states of a body's objects and lists by identity, from the bottom up, without recursion.
+
+    JSON text as the body or in one of the PLACES is replaced by what it holds.
+    """
+
+    def opened(value):
+        while isinstance(value, str) and value.lstrip()[:1] in ("[", "{"):
+            try:
+                value = _loads(value)
+            except ValueError:
+                break
+        return value
 
-def classify(body) -> dict[int, str]:
-    """States of a parsed body's values by identity, children before parents, without recursion."""
-    states: dict[int, str] = {}
+    states: dict[int, str | None] = {}
+    of = lambda v: states.get(id(v)) if isinstance(v, (dict, list)) else transition(v, {})
+    body = opened(body)
     todo = [(body, False)]
     while todo:
         value, ready = todo.pop()
-        if ready or not isinstance(value, (dict, list)):
-            if isinstance(value, (dict, list)):
-                states[id(value)] = _state(value, states)
-            continue
-        todo.append((value, True))
-        todo += [(v, False) for v in (value.values() if isinstance(value, dict) else value)]
-    return states
-
-
-def roots_of(body) -> list:
-    """The root nodes of a body, from under its envelopes."""
-    states = classify(body)
-    for _ in range(16):
-        if isinstance(body, str):
-            if body.lstrip()[:1] not in ("[", "{"):
-                return [body]
-            body = _loads(body)
-            states = classify(body)
-        if not isinstance(body, dict) or states[id(body)] != "envelope":
-            break
-        body = body["tree"] if "tree" in body else body["taxonomy"]
-    if isinstance(body, dict) and states[id(body)] not in ("node", "leaf"):
-        return []
-    return _listed(body)
-
-
-def _name(node: dict) -> tuple[str, str]:
-    if isinstance(node.get("name"), str):
-        return node["name"], "node_named"
-    for key, value in node.items():
-        if _is_level_key(key) and isinstance(value, str):
-            return value, "node_keyed"
-    return "", "node_unnamed"
+        if isinstance(value, list):
+            if ready:
+                states[id(value)] = "forest" if any(of(v) for v in value) else None
+                continue
+            todo.append((value, True))
+            todo += [(v, False) for v in value if isinstance(v, (dict, list))]
+        elif isinstance(value, dict):
+            if ready:
+                states[id(value)] = transition(value, {p: of(value[p]) for p in PLACES if p in value})
+                continue
+            todo.append((value, True))
+            for place in PLACES:
+                if place in value:
+                    value[place] = inner = opened(value[place])
+                    if isinstance(inner, (dict, list)):
+                        todo.append((inner, False))
+    return body, states
 
 
 def records(body: str | None, paths: bool = True) -> list[tuple]:
@@ -191,30 +198,38 @@ def records(body: str | None, paths: bool = True) -> list[tuple]:
     if body is None or not body.strip():
         return []
     try:
-        roots = roots_of(_loads(body))
+        root, states = run(_loads(body))
     except ValueError:
         return []
+    of = lambda v: states.get(id(v)) if isinstance(v, (dict, list)) else transition(v, {})
+    while of(root) == "envelope":
+        root = root["tree"] if "tree" in root and of(root["tree"]) else root["taxonomy"]
+    if of(root) not in TREES:
+        return []
+    listed = lambda v: v if isinstance(v, list) else [v]
     out: list[tuple] = []
-    todo = [(r, 0, (), 1) for r in reversed(roots)]
+    todo = [(r, 0, (), 1) for r in reversed(listed(root))]
     while todo:
         node, parent, path, depth = todo.pop()
-        no = len(out) + 1
-        if isinstance(node, str):
-            out.append((no, parent, "node", node, "node_text", None, depth, None, [*path, node] if paths else None))
-            continue
-        if not isinstance(node, dict):
+        variant = AS_NODE.get(of(node))
+        if variant is None:
             continue
-        name, variant = _name(node)
+        no = len(out) + 1
+        name = node if variant == "node_text" else node["name"] if variant == "node_named" else _level_key(node) if variant == "node_keyed" else ""
         path = (*path, name) if paths else path
-        level = node.get("level")
-        out.append((no, parent, "node", name, variant, level if type(level) is int else None, depth, None, list(path) if paths else None))
-        for item in _listed(node.get("items")):
-            if isinstance(item, str):
-                out.append((len(out) + 1, no, "item", item, "item_text", None, depth + 1, None, None))
-            elif isinstance(item, dict):
+        level = node.get("level") if variant != "node_text" else None
+        out.append((no, parent, "node", name, variant, level if type(level) is int and abs(level) < 1 << 31 else None, depth, None, list(path) if paths else None))
+        if variant == "node_text":
+            continue
+        for item in listed(node["items"]) if "items" in node and of(node["items"]) else ():
+            kind = AS_ITEM.get(of(item))
+            if kind == "item_text":
+                out.append((len(out) + 1, no, "item", item, kind, None, depth + 1, None, None))
+            elif kind:
                 label, grade = item.get("name"), item.get("grade")
-                out.append((len(out) + 1, no, "item", label if isinstance(label, str) else "", "item_object", None, depth + 1, grade if isinstance(grade, str) else None, None))
-        todo += [(c, no, path, depth + 1) for c in reversed(_listed(node.get("children")))]
+                out.append((len(out) + 1, no, "item", label if isinstance(label, str) else "", kind, None, depth + 1, grade if isinstance(grade, str) else None, None))
+        if "children" in node and of(node["children"]):
+            todo += [(c, no, path, depth + 1) for c in reversed(listed(node["children"]))]
     return out
 
 
@@ -222,17 +237,56 @@ def flatten(docs: DataFrame, key: str, body: str, paths: bool = True) -> DataFra
     """(key, rec_no, parent_no, kind, val, variant, level, depth, grade, path) of every body; paths=False leaves path null."""
     names = ["_key", *(f.split()[0] for f in RECORD.split(", "))]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, text in zip(b["_key"], b["_body"]):
+            owner: list[int] = []
+            held: list[tuple] = []
+
+            def leave() -> pa.RecordBatch:
+                cols = [pa.array(c, t, from_pandas=False) for c, t in zip(zip(*held), _ARROW)]
+                return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner)), *cols], names)
+
+            for i, text in enumerate(b.column(1).to_pylist()):
                 found = records(text, paths)
-                for i in range(0, len(found), 50_000):
-                    yield pd.DataFrame([(k, *r) for r in found[i : i + 50_000]], columns=names).astype({"level": "Int32"})
+                for at in range(0, len(found), BATCH):
+                    part = found[at : at + BATCH]
+                    held += part
+                    owner += [i] * len(part)
+                    if len(held) >= BATCH:
+                        yield leave()
+                        owner, held = [], []
+            if held:
+                yield leave()
 
     src = docs.select(F.col(key).alias("_key"), F.col(body).alias("_body")).where("_body is not null and _key is not null")
     src = spread(src)
     kind = src.schema["_key"].dataType.simpleString()
-    return src.mapInPandas(run, f"_key {kind}, {RECORD}").withColumnRenamed("_key", key)
+    return src.mapInArrow(task, f"_key {kind}, {RECORD}").withColumnRenamed("_key", key)
+
+
+def _no_tree(text: str) -> str:
+    """`no tree` for complete JSON; raises for other text."""
+    _loads(text)
+    return "no tree"
+
+
+def unread(docs: DataFrame, flat: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, reason): documents without any record in flat: `missing`, `broken` (no complete JSON) or `no tree`."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            why = []
+            for text in b.column(1).to_pylist():
+                try:
+                    why.append("missing" if text is None or not text.strip() else _no_tree(text))
+                except ValueError:
+                    why.append("broken")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(why, pa.string())], ["_key", "reason"])
+
+    src = docs.select(F.col(key).alias("_key"), F.col(body).alias("_body")).where("_key is not null")
+    src = src.join(flat.select(F.col(key).alias("_key")).distinct(), "_key", "left_anti").select("_key", "_body")
+    kind = src.schema["_key"].dataType.simpleString()
+    return src.mapInArrow(task, f"_key {kind}, reason string").withColumnRenamed("_key", key)
 
 
 def subtype_tables(flat: DataFrame, key: str) -> dict[str, DataFrame]:
@@ -240,8 +294,13 @@ def subtype_tables(flat: DataFrame, key: str) -> dict[str, DataFrame]:
     return {v: flat.where(F.col("variant") == v).select(key, "rec_no", "parent_no", *fields) for v, fields in VARIANTS.items()}
 
 
-def supertype(tables: dict[str, DataFrame], key: str) -> DataFrame:
-    """The records of all variant tables under their common keys, with kind and value."""
+def supertype(flat: DataFrame, key: str) -> DataFrame:
+    """The records of all variants under their common keys, with kind and value."""
+    return flat.select(key, "rec_no", "parent_no", "kind", "val")
+
+
+def united(tables: dict[str, DataFrame], key: str) -> DataFrame:
+    """The same from the tables of all variants."""
     out = None
     for variant, t in tables.items():
         val = F.col("val") if "val" in t.columns else F.lit("")

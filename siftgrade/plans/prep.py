@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,23 +31,36 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("fields", F.to_json("fields"))
 
 
-def p6_tables(spark: SparkSession, sf_dir: str, paths: bool = True) -> dict[str, DataFrame]:
-    flat = nested.flatten(table(spark, sf_dir, "gbt_template"), "tax_id", "body", paths)
-    return nested.subtype_tables(written(flat, "variant"), "tax_id")
+def _records(spark: SparkSession, sf_dir: str, paths: bool = True) -> DataFrame:
+    return nested.flatten(table(spark, sf_dir, "gbt_template"), "tax_id", "body", paths)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.supertype(p6_tables(spark, sf_dir, paths=False), "tax_id")
+    return nested.supertype(_records(spark, sf_dir, paths=False), "tax_id")
 
 
 def p6_item_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items under the full path of the node that owns them, joined over the common keys."""
-    flat = written(nested.flatten(table(spark, sf_dir, "gbt_template"), "tax_id", "body"))
-    nodes = flat.where("kind = 'node'").select("tax_id", F.col("rec_no").alias("parent_no"), F.array_join("path", "/").alias("path"))
-    return flat.where("kind = 'item'").select("tax_id", "rec_no", "parent_no", "val").join(nodes, ["tax_id", "parent_no"])
+    """Items under the full path of the node that owns them: the variants' tables joined over the common keys."""
+    tables = nested.subtype_tables(written(_records(spark, sf_dir), "variant"), "tax_id")
+    nodes = reduce(DataFrame.unionByName, [t.select("tax_id", F.col("rec_no").alias("parent_no"), F.array_join("path", "/").alias("path")) for v, t in tables.items() if v.startswith("node")])
+    items = reduce(DataFrame.unionByName, [t.select("tax_id", "rec_no", "parent_no", "val") for v, t in tables.items() if v.startswith("item")])
+    return items.join(nodes, ["tax_id", "parent_no"])
+
+
+def p6_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records of each variant the templates of every source have."""
+    of = table(spark, sf_dir, "gbt_template").select("tax_id", "domain")
+    flat = _records(spark, sf_dir, paths=False).groupBy("tax_id", "variant").agg(F.count("*").alias("n"))
+    return flat.join(of, "tax_id").groupBy("domain", "variant").agg(F.sum("n").alias("n"))
+
+
+def p6_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates that gave no record, with the reason."""
+    docs = table(spark, sf_dir, "gbt_template")
+    return nested.unread(docs, _records(spark, sf_dir, paths=False), "tax_id", "body")
 
 
-QUERIES = {"p2_found": p2_found, "p2_dynamic": p2_dynamic, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_item_paths": p6_item_paths}
+QUERIES = {"p2_found": p2_found, "p2_dynamic": p2_dynamic, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_item_paths": p6_item_paths, "p6_variants": p6_variants, "p6_unread": p6_unread}
 _NAMED = f"""h as (select file_id, trim_name as name, min(i) as pos from (select file_id, {strip('unnest(header)')} as trim_name, generate_subscripts(header, 1) as i from xlsx_files) where trim_name <> '' group by 1, 2),
 s as (select file_id, lag(file_id) over (partition by series order by exported_at nulls first, file_id) as prev_id from xlsx_files where series is not null),
 c as (select file_id, i as pos, c.v as v, c.t as t from (select file_id, unnest(cells) as c, generate_subscripts(cells, 1) as i from xlsx_rows) where c.v is not null and c.v <> ''),

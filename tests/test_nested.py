@@ -31,8 +31,8 @@ def test_tables(spark):
     df = spark.createDataFrame(rows, "tax_id long, body string, kind string")
     flat = nested.flatten(df, "tax_id", "body").cache()
     assert flat.count() == 2 * 299 + 60_001
-    top = nested.supertype(nested.subtype_tables(flat, "tax_id"), "tax_id")
-    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, flat.select("tax_id", "rec_no", "parent_no", "kind", "val").collect()))
+    top = nested.united(nested.subtype_tables(flat, "tax_id"), "tax_id")
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, nested.supertype(flat, "tax_id").collect()))
     assert nested.flatten(df.limit(0), "tax_id", "body").count() == 0
 
 
@@ -56,3 +56,33 @@ def test_reader_with_a_stack_reads_as_json_does():
         except ValueError:
             continue
         raise AssertionError(text)
+
+
+def test_states_decide_the_variants():
+    """One shape is a node or an item by its place; lists without any record, and covers, are not entered."""
+    body = {"children": [{"name": "x"}], "items": [{"name": "x"}], "level": 1}
+    assert [(r[2], r[4]) for r in nested.records(json.dumps(body))] == [("node", "node_unnamed"), ("item", "item_object"), ("node", "node_named")]
+    root, states = nested.run({"tree": json.dumps([{"level1": "a", "children": [3, None]}])})
+    assert states[id(root)] == "envelope" and states[id(root["tree"])] == "forest" and states[id(root["tree"][0])] == "node_keyed"
+    assert states[id(root["tree"][0]["children"])] is None
+    assert nested.records('{"tree": [3]}') == [] == nested.records('{"by": "x"}')
+
+
+def test_any_number_of_envelopes():
+    body = {"tree": [{"name": "A"}]}
+    for _ in range(20):
+        body = {"taxonomy": body}
+    assert [r[3] for r in nested.records(json.dumps(body))] == ["A"]
+    text = json.dumps({"tree": [{"name": "A"}]})
+    for _ in range(9):
+        text = json.dumps({"tree": text})
+    assert [r[3] for r in nested.records(text)] == ["A"]
+    deep = '{"taxonomy":' * 9_000 + '{"tree":["a"]}' + "}" * 9_000
+    assert [r[3] for r in nested.records(deep, paths=False)] == ["a"]
+
+
+def test_unread_bodies_are_reported(spark):
+    rows = [(1, '{"tree": ["a"]}'), (2, None), (3, " "), (4, '{"tree": ["a"'), (5, '{"meta": 1}'), (6, "null")]
+    df = spark.createDataFrame(rows, "tax_id long, body string")
+    got = nested.unread(df, nested.flatten(df, "tax_id", "body"), "tax_id", "body").collect()
+    assert sorted(map(tuple, got)) == [(2, "missing"), (3, "missing"), (4, "broken"), (5, "no tree"), (6, "no tree")]

@@ -83,6 +83,7 @@ def test_named_cases(spark):
 def test_expressions(spark):
     cases = {
         "a|b||c,d": ["a|b", "c,d"], "x；y\r\nz": ["x", "y", "z"], "p｜｜q||": ["p", "q"], '"a,b","c;d"': ["a,b", "c;d"],
+        '[ "a||b", "c"]': ["a||b", "c"], '[\n"a||b",\n"c"]': ["a||b", "c"], "['a||b', 'c']": ["a||b", "c"], """[,a/、"'b]""": None,
         '"(?:K||A)1";"z"': ["(?:K||A)1", "z"], '["a||b", "c"]': ["a||b", "c"], "[^,;\\s]{3,9}": None, "[ab](?=、|$)||[1,2]": ["[ab](?=、|$)", "[1,2]"],
     }
     got = split(spark, [(i, None, k) for i, k in enumerate(cases)])
@@ -121,3 +122,11 @@ def test_salted_rules_give_the_same(spark, monkeypatch):
     want = split(spark, rows)
     monkeypatch.setattr(packed, "BROADCAST_RULES", 0)
     assert split(spark, rows) == want
+
+
+def test_long_fields_are_read_like_short_ones(spark):
+    marks = "[,a/、'b;c\"|d，" + "".join(f"{chr(97 + i % 26)}{m}{chr(98 + i % 7)}{m}" for i, m in enumerate(",、'/\";|" * 120))
+    rows = [(1, None, "[,a/、'b]{2}"), (2, None, marks + "]{2}"), (3, None, marks + "]"), (4, None, marks + "]；x"), (5, None, '["a,b",' + ",".join(f'"{i}"' for i in range(500)) + "]")]
+    got = split(spark, rows)
+    assert (1, "b") not in got and (2, "b") not in got and (3, "b") not in got
+    assert got[4, "b"] == [marks + "]", "x"] and len(got[5, "b"]) == 501
