@@ -1,23 +1,32 @@
 """Tables whose schema drifts between files: report every change, and read all files as one table.
 
 Editions of a series are compared pairwise in time order. A column is what its header names; its type
-is the one most of its non-empty cells have. Columns of one name correspond. For the others a schema
-graph is built of both editions (schema, columns, types; column pairs that share contents) and
-similarity flooding runs on it to its fixpoint; consistent one-to-one correspondences are selected by
-score among those whose contents agree. Value counts, overlaps, joins and lineage are Spark jobs; only
-the fixpoint over one pair of headers, bounded by their width, runs in a task.
+is the one most of its non-empty cells have. Columns of one name correspond. For the others similarity
+flooding finds the correspondences: the graph of both editions has the schema, groups of columns (what
+stands before a separator in their names), columns and types; a pair of columns begins with the
+similarity of its contents, names and types, columns that stayed begin with the full score, and scores
+flow along the edges until they no longer change. Pairs are then taken one-to-one by their final score,
+and an exact check of the contents follows; contents=0 takes alike names for enough.
+
+Value counts, overlaps, joins, lineage and casts are Spark jobs. The fixpoints run in tasks, many pairs
+of editions at once in numpy, spread by a hash of the file; a pair of editions is bounded by the widths
+of its two headers.
 
 Defined cases: null or blank header names are no columns, of equal names in a header the first counts;
 cells beyond the header, null or empty ones are ignored; an empty column has no type and is never
 retyped; files without rows take part with their header; ties of type go to the alphabetically first,
-ties of time to the smaller file id. Empty tables give empty results.
+ties of time to the smaller file id, ties of score to the larger overlap, then to the smaller names.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -25,6 +34,13 @@ from ..session import checked_broadcast, written
 
 #: Share of the smaller column's cells that must be found again for the contents to be the same.
 SAME_CONTENTS = 0.4
+#: How alike names must be where contents are not asked for.
+BY_NAME = 0.5
+#: What contents, names and types give to the first score of a pair.
+WEIGHTS = (0.6, 0.3, 0.1)
+#: Passes of the flooding at most, and the change of scores at which it ends.
+PASSES, STILL = 200, 1e-4
+_SEPARATOR = re.compile(r"[\s._/·:：-]+|(?<=[a-z])(?=[A-Z])")
 
 
 def previous_editions(files: DataFrame) -> DataFrame:
@@ -52,74 +68,149 @@ def _cells(rows: DataFrame) -> DataFrame:
     return long.select("file_id", "pos", F.col("cell.v").alias("v"), F.col("cell.t").alias("t")).where("v is not null and v <> ''")
 
 
+def cell_types(rows: DataFrame) -> DataFrame:
+    """(file_id, pos, t, n): how many non-empty cells of each type every column has."""
+    return _cells(rows).where("t is not null").groupBy("file_id", "pos", "t").agg(F.count("*").alias("n"))
+
+
 def column_types(rows: DataFrame) -> DataFrame:
     """(file_id, pos, type): the type most non-empty cells have."""
-    by = _cells(rows).where("t is not null").groupBy("file_id", "pos", "t").agg(F.count("*").alias("n"))
+    by = cell_types(rows)
     return by.groupBy("file_id", "pos").agg(F.min_by("t", F.struct(-F.col("n"), "t")).alias("type"))
 
 
-def _flood(pairs: pd.DataFrame) -> pd.DataFrame:
-    """Similarity flooding over one pair of editions, then one-to-one selection.
+def _group(name: str) -> str:
+    """What stands before the last separator of a name; '' in a flat header."""
+    at = [m.start() for m in _SEPARATOR.finditer(name.strip())]
+    return name.strip()[: at[-1]].lower() if at else ""
+
+
+def _grams(name: str) -> set[str]:
+    bare = "".join(c for c in name.lower() if c.isalnum())
+    return {bare[i : i + 2] for i in range(len(bare) - 1)} | {bare[:1] + "^", bare[-1:] + "$"} if bare else set()
+
 
-    pairs: old_col, new_col, old_type, new_type, overlap; retained columns are pairs with themselves.
-    Nodes are the schema pair, the column pairs and the type pairs; schema-column and column-type edges
-    pass a node's score on in equal shares.
+def _alike(a: set[str], b: set[str]) -> float:
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+
+def first_scores(old: list[tuple[str, str]], new: list[tuple[str, str]], overlap: dict[tuple[str, str], float]) -> np.ndarray:
+    """The first score of every pair of columns (name, type) of two editions."""
+    grams = [_grams(n) for n, _ in new]
+    out = np.zeros((len(old), len(new)))
+    for i, (a, t) in enumerate(old):
+        g = _grams(a)
+        for j, (b, u) in enumerate(new):
+            out[i, j] = WEIGHTS[0] * overlap.get((a, b), 0.0) + WEIGHTS[1] * _alike(g, grams[j]) + WEIGHTS[2] * (t == u)
+    return out
+
+
+def flooded(cases: list[tuple[list, list, list, dict]], passes: int = PASSES) -> list[np.ndarray]:
+    """The final scores of the open column pairs of each case, by similarity flooding over all cases at once.
+
+    A case is (old columns, new columns, columns that stayed, overlap): columns are (name, type), those
+    that stayed (name, old type, new type). Every case has a root, its group pairs, type pairs and column
+    pairs; a node passes its score on in equal shares per kind of edge. A case rests once its own scores
+    are still, so no case depends on the others beside it.
     """
-    n = len(pairs)
-    kinds = {k: i for i, k in enumerate(dict.fromkeys(zip(pairs["old_type"], pairs["new_type"])))}
-    of = np.array([kinds[k] for k in zip(pairs["old_type"], pairs["new_type"])])
-    first = np.concatenate([[1.0], pairs["overlap"].to_numpy(), [1.0 if a == b else 0.1 for a, b in kinds]])
-    score, share = first.copy(), 1 / np.bincount(of, minlength=len(kinds))
-    for _ in range(200):
-        base = first + score
-        flow = np.zeros_like(base)
-        flow[1 : n + 1] = base[0] / n + base[n + 1 :][of] * share[of]
-        flow[0] = base[1 : n + 1].sum() / 2
-        np.add.at(flow, n + 1 + of, base[1 : n + 1] / 2)
-        new = base + flow
-        for part in (slice(0, 1), slice(1, n + 1), slice(n + 1, None)):  # each kind of node on its own scale
-            new[part] /= new[part].max()
-        done, score = np.abs(new - score).max() < 1e-4, new
-        if done:
+    first, group, kind, at, roots = [], [], [], [], []
+    groups: dict[tuple, int] = {}
+    kinds: dict[tuple, int] = {}
+    own_group, own_kind = [], []
+    for n, (old, new, stayed, overlap) in enumerate(cases):
+        scores = first_scores(old, new, overlap)
+        cols = [(a, b, t, u, scores[i, j]) for i, (a, t) in enumerate(old) for j, (b, u) in enumerate(new)] + [(a, a, t, u, 1.0) for a, t, u in stayed]
+        for a, b, t, u, score in cols:
+            first.append(score)
+            roots.append(n)
+            group.append(groups.setdefault((n, _group(a), _group(b)), len(groups)))
+            kind.append(kinds.setdefault((n, t, u), len(kinds)))
+        at.append(len(old) * len(new))
+    if not first:
+        return [np.zeros((len(o), len(n))) for o, n, *_ in cases]
+    root, group, kind = np.array(roots), np.array(group), np.array(kind)
+    own_group, own_kind = np.array([g[0] for g in groups]), np.array([k[0] for k in kinds])
+    first_col = np.array(first)
+    first_group = np.array([_alike(_grams(a), _grams(b)) for _, a, b in groups])
+    first_kind = np.array([1.0 if t == u else 0.1 for _, t, u in kinds])
+    per_group, per_kind, per_root = np.bincount(group), np.bincount(kind), np.bincount(own_group, minlength=len(cases)).clip(1)
+    col, grp, knd, top = first_col.copy(), first_group.copy(), first_kind.copy(), np.ones(len(cases))
+    live = np.ones(len(cases), bool)
+
+    def scaled(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+        most = np.zeros(len(cases))
+        np.maximum.at(most, of, x)
+        return x / np.maximum(most, 1e-12)[of]
+
+    for _ in range(passes):
+        c, g, k, r = first_col + col, first_group + grp, first_kind + knd, 1.0 + top
+        new_col = scaled(c + g[group] / per_group[group] + k[kind] / per_kind[kind], root)
+        new_grp = scaled(g + r[own_group] / per_root[own_group] + np.bincount(group, c, len(groups)), own_group)
+        new_knd = scaled(k + np.bincount(kind, c, len(kinds)), own_kind)
+        moved = np.zeros(len(cases))
+        np.maximum.at(moved, root, np.abs(new_col - col))
+        col = np.where(live[root], new_col, col)
+        grp, knd = np.where(live[own_group], new_grp, grp), np.where(live[own_kind], new_knd, knd)
+        live &= moved >= STILL
+        if not live.any():
             break
-    pairs = pairs.assign(score=score[1 : n + 1])
-    pairs = pairs[(pairs["old_col"] != pairs["new_col"]) & (pairs["overlap"] >= SAME_CONTENTS)]
-    old, new, kept = set(), set(), []
-    for r in pairs.sort_values(["overlap", "score", "old_col", "new_col"], ascending=[False, False, True, True]).itertuples():
-        if r.old_col not in old and r.new_col not in new:
-            old.add(r.old_col)
-            new.add(r.new_col)
-            kept.append((r.file_id, r.old_col, r.new_col))
-    return pd.DataFrame(kept, columns=["file_id", "old_col", "new_col"])
-
-
-def correspondences(files: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    starts = np.searchsorted(root, np.arange(len(cases)))
+    return [col[s : s + n].reshape(len(o), len(w)) for s, n, (o, w, *_) in zip(starts, at, cases)]
+
+
+def chosen(old: list, new: list, overlap: dict, scores: np.ndarray, contents: float) -> list[tuple[str, str]]:
+    """One-to-one correspondences by score among the pairs that pass the check of contents."""
+    fits = [(-scores[i, j], -overlap.get((a, b), 0.0), a, b) for i, (a, _) in enumerate(old) for j, (b, _) in enumerate(new) if (overlap.get((a, b), 0.0) >= contents if contents > 0 else _alike(_grams(a), _grams(b)) >= BY_NAME)]
+    left, right, out = set(), set(), []
+    for _, _, a, b in sorted(fits):
+        if a not in left and b not in right:
+            left.add(a)
+            right.add(b)
+            out.append((a, b))
+    return out
+
+
+def correspondences(files: DataFrame, rows: DataFrame, contents: float = SAME_CONTENTS, passes: int = PASSES) -> tuple[DataFrame, DataFrame]:
     """(sides, renamed): every column of every pair of editions, and the renamed ones.
 
     sides(file_id, prev_id, name, old_pos, new_pos, old_type, new_type); positions are null on the side
-    that lacks the name. renamed(file_id, old_col, new_col).
+    that lacks the name. renamed(file_id, old_col, new_col). Both are written, so later uses read them.
     """
     steps = previous_editions(files).where("prev_id is not null").select("file_id", "prev_id")
-    cols = columns_of(files).join(column_types(rows), ["file_id", "pos"], "left")
+    cols = written(columns_of(files).join(column_types(rows), ["file_id", "pos"], "left"))
     now = cols.join(steps, "file_id").select("file_id", "prev_id", "name", F.lit(None).cast("int").alias("op"), F.col("pos").alias("np"), F.lit(None).cast("string").alias("ot"), F.col("type").alias("nt"))
     was = cols.withColumnRenamed("file_id", "prev_id").join(steps, "prev_id").select("file_id", "prev_id", "name", F.col("pos").alias("op"), F.lit(None).cast("int").alias("np"), F.col("type").alias("ot"), F.lit(None).cast("string").alias("nt"))
-    sides = now.unionByName(was).groupBy("file_id", "prev_id", "name").agg(F.max("op").alias("old_pos"), F.max("np").alias("new_pos"), F.max("ot").alias("old_type"), F.max("nt").alias("new_type"))
-    sides = written(sides)
-    lost = sides.where("new_pos is null")
-    come = sides.where("old_pos is null")
-    open_old = lost.join(come.select("file_id").distinct(), "file_id", "left_semi").select("file_id", "prev_id", F.col("name").alias("old_col"), "old_pos", "old_type")
-    open_new = come.join(lost.select("file_id").distinct(), "file_id", "left_semi").select("file_id", F.col("name").alias("new_col"), "new_pos", "new_type")
-    asked = open_old.select(F.col("prev_id").alias("file_id"), F.col("old_pos").alias("pos")).unionByName(open_new.select("file_id", F.col("new_pos").alias("pos"))).distinct()
-    counts = _cells(rows).join(checked_broadcast(asked), ["file_id", "pos"], "left_semi").groupBy("file_id", "pos", "v").agg(F.count("*").alias("n"))
-    old = open_old.join(counts.select(F.col("file_id").alias("prev_id"), F.col("pos").alias("old_pos"), "v", F.col("n").alias("old_n")), ["prev_id", "old_pos"])
-    new = open_new.join(counts.select("file_id", F.col("pos").alias("new_pos"), "v", F.col("n").alias("new_n")), ["file_id", "new_pos"])
-    size = lambda side, c, n: side.groupBy("file_id", c).agg(F.sum(n).alias(f"{n}_all"))
-    common = old.join(new, ["file_id", "v"]).groupBy("file_id", "old_col", "new_col").agg(F.sum(F.least("old_n", "new_n")).alias("both"), F.max("old_type").alias("old_type"), F.max("new_type").alias("new_type"))
-    common = common.join(size(old, "old_col", "old_n"), ["file_id", "old_col"]).join(size(new, "new_col", "new_n"), ["file_id", "new_col"])
-    pairs = common.select("file_id", "old_col", "new_col", F.coalesce("old_type", F.lit("")).alias("old_type"), F.coalesce("new_type", F.lit("")).alias("new_type"), (F.col("both") / F.least("old_n_all", "new_n_all")).alias("overlap"))
-    kept = sides.where("old_pos is not null and new_pos is not null").join(pairs.select("file_id").distinct(), "file_id", "left_semi")
-    kept = kept.select("file_id", F.col("name").alias("old_col"), F.col("name").alias("new_col"), F.coalesce("old_type", F.lit("")).alias("old_type"), F.coalesce("new_type", F.lit("")).alias("new_type"), F.lit(1.0).alias("overlap"))
-    renamed = pairs.unionByName(kept).groupBy("file_id").applyInPandas(_flood, "file_id long, old_col string, new_col string")
+    sides = written(now.unionByName(was).groupBy("file_id", "prev_id", "name").agg(F.max("op").alias("old_pos"), F.max("np").alias("new_pos"), F.max("ot").alias("old_type"), F.max("nt").alias("new_type")))
+    typed = lambda c: F.coalesce(c, F.lit(""))
+    gone, come = F.col("new_pos").isNull(), F.col("old_pos").isNull()
+    heads = sides.groupBy("file_id", "prev_id").agg(
+        F.array_sort(F.collect_list(F.when(gone, F.struct("name", typed("old_type").alias("type"), F.col("old_pos").alias("pos"))))).alias("old"),
+        F.array_sort(F.collect_list(F.when(come, F.struct("name", typed("new_type").alias("type"), F.col("new_pos").alias("pos"))))).alias("new"),
+        F.array_sort(F.collect_list(F.when(~gone & ~come, F.struct("name", typed("old_type").alias("old_type"), typed("new_type").alias("new_type"))))).alias("stayed"),
+    )
+    heads = written(heads.where("size(old) > 0 and size(new) > 0"))  # a row per pair of editions, as wide as their headers
+    ends = heads.select("file_id", F.explode(F.concat(F.transform("old", lambda c: F.struct(F.col("prev_id").alias("of"), c["pos"].alias("pos"), c["name"].alias("name"), F.lit(True).alias("was"))), F.transform("new", lambda c: F.struct(F.col("file_id").alias("of"), c["pos"].alias("pos"), c["name"].alias("name"), F.lit(False).alias("was"))))).alias("c")).select("file_id", "c.*")
+    asked = checked_broadcast(ends.select(F.col("of"), "pos").distinct())
+    cells = _cells(rows).withColumnRenamed("file_id", "of").join(asked, ["of", "pos"], "left_semi")
+    counts = written(cells.groupBy("of", "pos", "v").agg(F.count("*").alias("n")))
+    values = ends.join(counts, ["of", "pos"])
+    sizes = values.groupBy("file_id", "name", "was").agg(F.sum("n").alias("cells"))
+    side = lambda df, was, names: df.where("was" if was else "not was").select(*(F.col(a).alias(b) for a, b in names.items()))
+    both = side(values, True, {"file_id": "file_id", "v": "v", "name": "old_col", "n": "old_n"}).join(side(values, False, {"file_id": "file_id", "v": "v", "name": "new_col", "n": "new_n"}), ["file_id", "v"])
+    both = both.groupBy("file_id", "old_col", "new_col").agg(F.sum(F.least("old_n", "new_n")).alias("both"))
+    both = both.join(side(sizes, True, {"file_id": "file_id", "name": "old_col", "cells": "old_cells"}), ["file_id", "old_col"]).join(side(sizes, False, {"file_id": "file_id", "name": "new_col", "cells": "new_cells"}), ["file_id", "new_col"])
+    shared = both.groupBy("file_id").agg(F.collect_list(F.struct("old_col", "new_col", (F.col("both") / F.least("old_cells", "new_cells")).alias("overlap"))).alias("overlaps"))
+    cases = heads.join(shared, "file_id", "left")
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            pairs = [{(o["old_col"], o["new_col"]): o["overlap"] for o in (os if os is not None else ())} for os in b["overlaps"]]
+            sides_ = [([(c["name"], c["type"]) for c in o], [(c["name"], c["type"]) for c in n], [(c["name"], c["old_type"], c["new_type"]) for c in s], p) for o, n, s, p in zip(b["old"], b["new"], b["stayed"], pairs)]
+            found = [(f, a, c) for f, case, scores in zip(b["file_id"], sides_, flooded(sides_, passes)) for a, c in chosen(case[0], case[1], case[3], scores, contents)]
+            yield pd.DataFrame(found, columns=["file_id", "old_col", "new_col"])
+
+    tasks = max(1, min(10_000, heads.count() // 200))
+    renamed = cases.select("file_id", "old", "new", "stayed", "overlaps").repartition(tasks, "file_id").mapInPandas(task, "file_id long, old_col string, new_col string")
     return sides, written(renamed)
 
 
@@ -153,25 +244,43 @@ def lineage(files: DataFrame, sides: DataFrame, renamed: DataFrame) -> DataFrame
     return now
 
 
-def _cast(v, t):
-    """v as its column's type in one notation; text that can't be cast stays."""
-    number = F.regexp_replace(F.regexp_replace(v.try_cast("decimal(38,10)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    day = F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), F.try_to_date(v, "yyyy/MM/dd")).cast("string")
-    return F.coalesce(F.when(t == "n", number).when(t == "d", day), v)
+def _typed(v: Column, t: Column) -> list[Column]:
+    """v as a number, a day and a truth value, each null unless it is of that type and can be read so."""
+    number = F.when((t == "n") & v.rlike(r"^[+-]?\d+(\.\d+)?$"), v.try_cast("double"))
+    day = F.when((t == "d") & v.rlike(r"^\d{4}[-/]\d{2}[-/]\d{2}$"), F.translate(v, "/", "-").try_cast("date"))
+    truth = F.when(t == "b", F.when(F.lower(v).isin("true", "1", "y", "yes", "是"), True).when(F.lower(v).isin("false", "0", "n", "no", "否"), False))
+    return [number.alias("number"), day.alias("day"), truth.alias("truth")]
 
 
 def unified(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """(series, file_id, row_no, fields): all editions as one table of field records.
+    """(series, file_id, row_no, field, type, value, number, day, truth, failed): all editions as one typed table.
 
-    fields maps each column, under the first name it had in its series, to its value, cast to the
-    type the column has in the file.
+    A row per non-empty cell. field is the first name its column had in the series (a second column of a
+    file that began under the same name has its own name added), type the one that most of the field's
+    cells have in all editions together, s where none has any. value is the text as it came; the column
+    of the type holds what it was cast to, and failed tells that it can't be.
     """
     sides, renamed = correspondences(files, rows)
-    named = lineage(files, sides, renamed).join(column_types(rows), ["file_id", "pos"], "left")
-    # two lineages of a file may have begun under one name
-    per = named.groupBy("file_id", "field").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "type"))).alias("all"))
-    per = per.select("file_id", F.posexplode("all").alias("i", "c"), "field").select("file_id", F.struct("c.pos", F.when(F.col("i") == 0, F.col("field")).otherwise(F.concat("field", F.lit(" ("), "c.name", F.lit(")"))).alias("field"), "c.type").alias("col"))
-    heads = files.select("file_id", "series").join(per.groupBy("file_id").agg(F.collect_list("col").alias("cols")), "file_id")
+    named = lineage(files, sides, renamed)
+    again = F.row_number().over(Window.partitionBy("file_id", "field").orderBy("pos"))  # as many as a header has columns
+    named = named.withColumn("again", again).select("file_id", "pos", F.when(F.col("again") == 1, F.col("field")).otherwise(F.concat("field", F.lit(" ("), "name", F.lit(")"))).alias("field"))
+    named = named.join(files.select("file_id", "series"), "file_id")
+    by = cell_types(rows).join(named, ["file_id", "pos"]).groupBy("series", "field", "t").agg(F.sum("n").alias("n"))
+    kinds = by.groupBy("series", "field").agg(F.min_by("t", F.struct(-F.col("n"), "t")).alias("type"))
+    cols = named.join(kinds, ["series", "field"], "left").select("file_id", "pos", "series", "field", F.coalesce("type", F.lit("s")).alias("type"))
+    heads = cols.groupBy("file_id", "series").agg(F.collect_list(F.struct("pos", "field", "type")).alias("cols"))
     joined = rows.select("file_id", "row_no", "cells").join(heads, "file_id")
-    pair = F.transform("cols", lambda c: F.struct(c["field"].alias("k"), _cast(F.get(F.col("cells"), c["pos"])["v"], c["type"]).alias("v")))
-    return joined.select("series", "file_id", "row_no", F.map_from_entries(F.filter(pair, lambda e: e["v"].isNotNull() & (e["v"] != ""))).alias("fields"))
+    each = joined.select("series", "file_id", "row_no", "cells", F.explode("cols").alias("c")).select("series", "file_id", "row_no", "c.field", "c.type", F.get("cells", F.col("c.pos"))["v"].alias("value")).where("value <> ''")
+    out = each.select("*", *_typed(F.col("value"), F.col("type")))
+    return out.withColumn("failed", (F.col("type") != "s") & F.col("number").isNull() & F.col("day").isNull() & F.col("truth").isNull())
+
+
+def as_columns(records: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """unified() with a column per field: fields gives their types, s, n, d or b; a row per file and row number."""
+    at = {"s": "value", "n": "number", "d": "day", "b": "truth"}
+    return records.groupBy("series", "file_id", "row_no").agg(*(F.max(F.when(F.col("field") == f, F.col(at[t]))).alias(f) for f, t in fields.items()))
+
+
+def cast_report(records: DataFrame) -> DataFrame:
+    """(series, field, type, n_cells, n_failed): how the cells of every field could be cast."""
+    return records.groupBy("series", "field", "type").agg(F.count("*").alias("n_cells"), F.count(F.when(F.col("failed"), 1)).alias("n_failed"))

@@ -27,8 +27,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = editions.unified(table(spark, sf_dir, "xlsx_files"), table(spark, sf_dir, "xlsx_rows"))
-    return out.withColumn("fields", F.to_json("fields"))
+    """All editions as one typed table, a row per cell."""
+    return editions.unified(table(spark, sf_dir, "xlsx_files"), table(spark, sf_dir, "xlsx_rows"))
+
+
+def p3_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells and failed casts of every field of every series."""
+    return editions.cast_report(p3_records(spark, sf_dir))
 
 
 def _records(spark: SparkSession, sf_dir: str, paths: bool = True) -> DataFrame:
@@ -60,7 +65,7 @@ def p6_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.unread(docs, _records(spark, sf_dir, paths=False), "tax_id", "body")
 
 
-QUERIES = {"p2_found": p2_found, "p2_dynamic": p2_dynamic, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_item_paths": p6_item_paths, "p6_variants": p6_variants, "p6_unread": p6_unread}
+QUERIES = {"p2_found": p2_found, "p2_dynamic": p2_dynamic, "p3_found": p3_found, "p3_records": p3_records, "p3_casts": p3_casts, "p6_found": p6_found, "p6_item_paths": p6_item_paths, "p6_variants": p6_variants, "p6_unread": p6_unread}
 _NAMED = f"""h as (select file_id, trim_name as name, min(i) as pos from (select file_id, {strip('unnest(header)')} as trim_name, generate_subscripts(header, 1) as i from xlsx_files) where trim_name <> '' group by 1, 2),
 s as (select file_id, lag(file_id) over (partition by series order by exported_at nulls first, file_id) as prev_id from xlsx_files where series is not null),
 c as (select file_id, i as pos, c.v as v, c.t as t from (select file_id, unnest(cells) as c, generate_subscripts(cells, 1) as i from xlsx_rows) where c.v is not null and c.v <> ''),
@@ -74,6 +79,19 @@ vo as (select g.file_id, oname, v, count(*) as n from gone g join c on c.file_id
 vn as (select g.file_id, nn, v, count(*) as n from come g join c on c.file_id = g.file_id and c.pos = g.np group by all),
 ren as (select file_id, oname, nn from (select vo.file_id, oname, nn, sum(least(vo.n, vn.n)) as b from vo join vn using (file_id, v) group by all)
   join (select file_id, oname, sum(n) as so from vo group by all) using (file_id, oname) join (select file_id, nn, sum(n) as sn from vn group by all) using (file_id, nn) where b / least(so, sn) >= 0.4)"""
+_RECORDS = f"""with recursive {_NAMED},
+step as (select file_id, nn as name, prev_id, nn as was from side where np is not null and op is not null union all select r.file_id, r.nn, s.prev_id, r.oname from ren r join s using (file_id)),
+up as (select file_id, name, pos, file_id as at_id, name as at_name from h union all select u.file_id, u.name, u.pos, t.prev_id, t.was from up u join step t on t.file_id = u.at_id and t.name = u.at_name),
+root as (select u.* from up u left join step t on t.file_id = u.at_id and t.name = u.at_name where t.file_id is null),
+named as (select f.series, r.file_id, r.pos, case when row_number() over (partition by r.file_id, at_name order by pos) = 1 then at_name else at_name || ' (' || name || ')' end as field from root r join xlsx_files f using (file_id)),
+kind as (select series, field, arg_min(t, (-n, t)) as type from (select series, field, t, count(*) as n from c join named using (file_id, pos) where t is not null group by all) group by all),
+cell as (select file_id, row_no, unnest(cells) as c, generate_subscripts(cells, 1) as pos from xlsx_rows),
+rec as (select n.series, n.file_id, row_no, n.field, coalesce(type, 's') as type, c.v as value,
+  case when type = 'n' and regexp_matches(c.v, '^[+-]?[0-9]+(\\.[0-9]+)?$') then try_cast(c.v as double) end as number,
+  case when type = 'd' and regexp_matches(c.v, '^[0-9]{{4}}[-/][0-9]{{2}}[-/][0-9]{{2}}$') then try_cast(replace(c.v, '/', '-') as date) end as day,
+  case when type = 'b' then case when lower(c.v) in ('true', '1', 'y', 'yes', '是') then true when lower(c.v) in ('false', '0', 'n', 'no', '否') then false end end as truth
+  from cell join named n using (file_id, pos) left join kind k on k.series is not distinct from n.series and k.field = n.field where c.v <> ''),
+done as (select *, type <> 's' and number is null and day is null and truth is null as failed from rec)"""
 _QUOTES = (('"', '"'), ("“", "”"), ("'", "'"), ("「", "」"))
 
 
@@ -105,6 +123,8 @@ def _packed_sql(kind: str, key: str, col: str, tbl: str) -> str:
 SQL = {
     "p2_found": f"{_packed_sql('keywords', 'rule_id', 'patternkeywords', 'rule_rows')} union all {_packed_sql('expressions', 'rule_id', 'patternregex', 'rule_rows')}",
     "p2_dynamic": f"{_packed_sql('keywords', 'dyn_id', 'patternkeywords', 'dynamic_rules')} union all {_packed_sql('expressions', 'dyn_id', 'patternregex', 'dynamic_rules')}",
+    "p3_records": f"{_RECORDS} select * from done",
+    "p3_casts": f"{_RECORDS} select series, field, type, count(*) as n_cells, count(*) filter (where failed) as n_failed from done group by all",
     "p3_found": f"""with {_NAMED}
 select file_id, 'renamed' as drift, oname as old_col, nn as new_col from ren union all
 select file_id, 'removed', oname, '' from gone where (file_id, oname) not in (select file_id, oname from ren) union all
