@@ -208,6 +208,14 @@ def tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir).select("grp", F.array_join("path", "/").alias("path"), "level", F.array_join("items", "|").alias("items"))
 
 
+def tree_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged trees written as nested JSON and read again, a row per path."""
+    made = written(tree_json(spark, sf_dir))
+    nodes, items = taxonomy.paths_of(nested.flatten(made, "grp", "tree"), "grp")
+    of = items.groupBy("doc", "path").agg(F.array_join(F.array_sort(F.collect_list("item")), "|").alias("items"))
+    return nodes.join(of, ["doc", "path"], "left").select(F.col("doc").alias("grp"), F.array_join("path", "/").alias("path"), "level", F.coalesce("items", F.lit("")).alias("items"))
+
+
 def tree_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged tree of each domain as nested JSON."""
     return taxonomy.nested_json(written(_merged(spark, sf_dir)))
@@ -306,7 +314,7 @@ QUERIES = {
     "clean_text": clean_text, "title_levels": title_levels, "paragraphs": paragraphs, "guide_text": guide_text, "pii_documents": pii_documents,
     "down_fill": down_fill, "row_groups": row_groups, "fragments_topk": fragments_topk, "fragments_dedup": fragments_dedup, "fragments_fallback": fragments_fallback,
     "path_batches": path_batches, "order_restore": order_restore, "payload_sizes": payload_sizes, "hierarchy_edges": hierarchy_edges, "prefix_filter": prefix_filter,
-    "distinct_at_depth": distinct_at_depth, "tree_paths": tree_paths, "tree_merge": tree_merge, "tree_json": tree_json, "grade_normalize": grade_normalize,
+    "distinct_at_depth": distinct_at_depth, "tree_paths": tree_paths, "tree_merge": tree_merge, "tree_json": tree_json, "tree_roundtrip": tree_roundtrip, "grade_normalize": grade_normalize,
     "header_normalize": header_normalize, "compose_text": compose_text, "parse_classification": parse_classification, "heuristic_labels": heuristic_labels,
     "domain_detect": domain_detect, "training_records": training_records, "json_slice": json_slice, "json_props": json_props,
 }
@@ -315,7 +323,16 @@ from .catalog import _grade_sql  # noqa: E402
 _TRAINING = f"""select 'xlsx_catalog' as source, {sql.strip("coalesce(dbname, '')")} as dbname, {sql.strip("coalesce(tablename, '')")} as tablename, {sql.strip("coalesce(字段名, '')")} as fieldname, text, domain, sub1, sub2, {_grade_sql(sql.strip("coalesce(分级, '')"))} as grade
 from xlsx_catalog join ({_COMPOSE}) using (row_id) join ({_PARSE.replace('"分类"', sql.strip('"分类"'))}) using (row_id)
 where ({sql.strip("coalesce(字段名, '')")} <> '' or {sql.strip("coalesce(字段注释, '')")} <> '') and {sql.strip("coalesce(分类, '')")} <> ''"""
+_TREE_MERGE = f"""with recursive {sql.TREES},
+mnode as (select coalesce(domain, 'general') as grp, path, min(coalesce(t.level, depth)) as level from tnode t join gbt_template using (tax_id) group by all),
+mitem as (select coalesce(domain, 'general') as grp, path, array_to_string(list_sort(list_distinct(list(val))), '|') as items from titem join gbt_template using (tax_id) where trim(val) <> '' group by all)
+select grp, array_to_string(path, '/') as path, level, coalesce(items, '') as items from mnode left join mitem using (grp, path)"""
 SQL = {
+    "tree_paths": f"""with recursive {sql.TREES}, own as (select tax_id, up, string_agg(val, '|' order by key) as items from titem group by all)
+select n.tax_id as doc, n.rec_no as path_ord, array_to_string(path, '/') as path, coalesce(items, '') as items from tnum n left join own o on n.tax_id = o.tax_id and n.key = o.up
+where kind = 'node' and (n.tax_id, n.key) not in (select tax_id, up from tnode)""",
+    "tree_merge": _TREE_MERGE,
+    "tree_roundtrip": _TREE_MERGE,
     "training_records": _TRAINING,
     "clean_text": _CLEAN,
     "title_levels": f"with {_LINES} select doc_id, ord, regexp_extract(line, '^([0-9]+(\\.[0-9]+)*)\\s+', 1) as level from lines where regexp_matches(line, '^[0-9]+(\\.[0-9]+)*\\s+')",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import editions, nested, packed
 from ..session import table, written
-from .sql import strip
+from .sql import TREES, strip
 
 _FIELDS = {"patternkeywords": "keywords", "patternregex": "expressions"}
 
@@ -123,6 +123,10 @@ def _packed_sql(kind: str, key: str, col: str, tbl: str) -> str:
 SQL = {
     "p2_found": f"{_packed_sql('keywords', 'rule_id', 'patternkeywords', 'rule_rows')} union all {_packed_sql('expressions', 'rule_id', 'patternregex', 'rule_rows')}",
     "p2_dynamic": f"{_packed_sql('keywords', 'dyn_id', 'patternkeywords', 'dynamic_rules')} union all {_packed_sql('expressions', 'dyn_id', 'patternregex', 'dynamic_rules')}",
+    "p6_found": f"with recursive {TREES} select tax_id, rec_no, parent_no, kind, val from trec",
+    "p6_item_paths": f"with recursive {TREES} select tax_id, rec_no, parent_no, val, array_to_string(path, '/') as path from trec where kind = 'item'",
+    "p6_variants": f"with recursive {TREES} select domain, variant, count(*) as n from trec join gbt_template using (tax_id) group by all",
+    "p6_unread": f"with recursive {TREES} select tax_id, case when trim(coalesce(body, '')) = '' then 'missing' when json_valid(body) then 'no tree' else 'broken' end as reason from gbt_template where tax_id not in (select tax_id from trec)",
     "p3_records": f"{_RECORDS} select * from done",
     "p3_casts": f"{_RECORDS} select series, field, type, count(*) as n_cells, count(*) filter (where failed) as n_failed from done group by all",
     "p3_found": f"""with {_NAMED}

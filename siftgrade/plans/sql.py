@@ -74,3 +74,31 @@ decided as (select {key}, score, tags, marker is not null as matched, coalesce(m
   case when level is null then 'low' when band = 'H' then 'high' else 'medium' end as confidence,
   case when level is null then '' else category end as category, coalesce(level, '') as level, coalesce(rule_id, '') as rule_id
   from banded left join picked using ({key}))"""
+
+
+def _listed(x: str) -> str:
+    """A JSON value as a list: null is none, JSON text is read, anything else but an array is a list of one."""
+    read = f"({x}->>'$')::json"
+    packed = f"json_type({x}) = 'VARCHAR' and regexp_matches({x}->>'$', '^\\s*[\\[{{]') and json_valid({x}->>'$')"
+    return f"""case when {x} is null or json_type({x}) = 'NULL' then []::json[] when json_type({x}) = 'ARRAY' then json_extract({x}, '$[*]')
+  when {packed} then case when json_type({read}) = 'ARRAY' then json_extract({read}, '$[*]') else [{read}] end else [{x}] end"""
+
+
+_LEVELS = "list_filter(json_keys(v), lambda k: regexp_matches(k, '^level[0-9]+$'))"
+#: CTEs of the templates' records: tnode (tax_id, key, up, val, level, depth, path, variant), titem (tax_id, key, up, val), trec with numbers.
+TREES = f"""tbody as (select tax_id, body::json as j from gbt_template where json_valid(body)),
+troot as (select tax_id, case when json_type(j) = 'OBJECT' then coalesce(j->'$.taxonomy.tree', j->'$.tree', j) else j end as r from tbody),
+tkept as (select * from troot where json_type(r) in ('ARRAY', 'VARCHAR') or json_type(r) = 'OBJECT' and len(list_filter(json_keys(r), lambda k: k in ('name', 'children', 'items', 'level') or regexp_matches(k, '^level[0-9]+$'))) > 0),
+tfirst as (select tax_id, unnest({_listed('r')}) as v, generate_subscripts({_listed('r')}, 1) as i from tkept),
+twalk as (select tax_id, v, [i] as key, []::bigint[] as up, []::varchar[] as above, 1 as depth from tfirst where json_type(v) in ('OBJECT', 'VARCHAR') union all
+  select tax_id, c, key || [1, i], key, above || [name], depth + 1 from (select w.tax_id, key, above, depth, unnest({_listed("(w.v->'$.children')")}) as c, generate_subscripts({_listed("(w.v->'$.children')")}, 1) as i,
+    coalesce(case when json_type(w.v->'$.name') = 'VARCHAR' then w.v->>'$.name' end, json_extract_string(w.v, '$.' || list_filter({_LEVELS.replace('(v)', '(w.v)')}, lambda k: json_type(json_extract(w.v, '$.' || k)) = 'VARCHAR')[1]), '') as name from twalk w where json_type(w.v) = 'OBJECT') where json_type(c) in ('OBJECT', 'VARCHAR')),
+tnamed as (select *, case when json_type(v) = 'OBJECT' then json_extract_string(v, '$.' || list_filter({_LEVELS}, lambda k: json_type(json_extract(v, '$.' || k)) = 'VARCHAR')[1]) end as keyed from twalk),
+tnode as (select tax_id, v, key, up, depth, case when json_type(v) = 'OBJECT' and json_type(v->'$.level') in ('UBIGINT', 'BIGINT') then (v->>'$.level')::int end as level,
+  case when json_type(v) = 'VARCHAR' then v->>'$' when json_type(v->'$.name') = 'VARCHAR' then v->>'$.name' else coalesce(keyed, '') end as val, above || [val] as path,
+  case when json_type(v) = 'VARCHAR' then 'node_text' when json_type(v->'$.name') = 'VARCHAR' then 'node_named' when keyed is not null then 'node_keyed' else 'node_unnamed' end as variant from tnamed),
+tlist as (select tax_id, key as up, path, unnest({_listed("(v->'$.items')")}) as c, generate_subscripts({_listed("(v->'$.items')")}, 1) as i from tnode where json_type(v) = 'OBJECT'),
+titem as (select tax_id, up || [0, i] as key, up, path, case when json_type(c) = 'VARCHAR' then c->>'$' when json_type(c->'$.name') = 'VARCHAR' then c->>'$.name' else '' end as val,
+  case when json_type(c) = 'VARCHAR' then 'item_text' else 'item_object' end as variant from tlist where json_type(c) in ('OBJECT', 'VARCHAR')),
+tnum as (select *, row_number() over (partition by tax_id order by key)::int as rec_no from (select tax_id, key, up, 'node' as kind, val, variant, path, level, depth from tnode union all select tax_id, key, up, 'item', val, variant, path, null, null from titem)),
+trec as (select a.*, coalesce(b.rec_no, 0) as parent_no from tnum a left join tnum b on a.tax_id = b.tax_id and a.up = b.key)"""
