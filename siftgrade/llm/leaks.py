@@ -4,10 +4,11 @@ Items are indexed by the character grams of their letters and digits, a BM25 pos
 in blocks of items with the highest weight of each. Every passage of every document queries the index
 by block-max WAND. An item's threshold is the least that any of its runs of RUN characters scores in
 it, so a passage that holds such a run always reaches it: retrieval loses nothing, and an exact
-comparison of passage and item then keeps the true leaks. The items are a stated query set: their index
-is broadcast in shards of proven size, each run against all documents; documents never shuffle but for
-the deduplication of found pairs. The items of this project have no separate question and answer, so
-the overlap verified is that of the whole text.
+comparison of passage and item then keeps the true leaks. The items are a stated query set: the index of
+each shard of proven size is built in a task and written to the shared folder; the shards are broadcast
+one after the other, each run against all documents; documents never shuffle but for the deduplication
+of found pairs. Where items have a separate answer, both are verified and reported; those of this
+project have none, so the overlap verified is that of the whole text.
 
 Defined cases: null texts and texts of less than RUN letters and digits match nothing; repeated items
 are each reported; a pair is reported once however often it occurs. Texts of any length are queried
@@ -17,6 +18,7 @@ whole, in overlapping passages.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 
 RUN = 50
 GRAM, K1, B = 12, 1.2, 0.75
@@ -151,8 +153,23 @@ def shares_run(passage: str, item: str) -> bool:
     return any(passage[i : i + RUN] in item for i in range(len(passage) - RUN + 1))
 
 
-def leaked(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
-    """(key, item_key): every document that shares a run of RUN letters and digits with an item."""
+def built(items: DataFrame, shards: int) -> DataFrame:
+    """(shard, index): the pickled index of every shard of items(_item, _text), built in tasks."""
+
+    def build(part: pd.DataFrame) -> pd.DataFrame:
+        index = Index(list(zip(part["_item"].tolist(), part["_text"].tolist())))
+        return pd.DataFrame({"shard": [part["shard"].iat[0]], "index": [pickle.dumps(index)]})
+
+    sharded = items.withColumn("shard", F.pmod(F.xxhash64("_item"), F.lit(shards)).cast("int"))
+    return sharded.groupBy("shard").applyInPandas(build, "shard int, index binary")  # about SHARD_CHARS characters a group
+
+
+def leaked(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, item_answer: str | None = None) -> DataFrame:
+    """(key, item_key): every document that shares a run of RUN letters and digits with an item.
+
+    With item_answer, the column of the items' answers, there is a third column `answered`: whether the
+    document holds the answer too, by letters and digits; null where an item has no answer.
+    """
     wanted = items.where(F.col(item_key).isNotNull()).select(F.col(item_key).alias("_item"), bare(F.col(item_text)).alias("_text")).where(F.length("_text") >= RUN)
     chars = wanted.agg(F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()[0]
     shards = max(1, -(-chars // SHARD_CHARS))
@@ -160,16 +177,30 @@ def leaked(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str
         raise ValueError(f"the items need {shards} shards of the index; {MAX_SHARDS} are allowed")
     src = spread(docs).where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), bare(F.col(text)).alias("_text")).where(F.length("_text") >= RUN)
     kind, item_kind = src.schema["_key"].dataType.simpleString(), wanted.schema["_item"].dataType.simpleString()
-    found = None
+    indexes = written(built(wanted, shards))
+    found = src.sparkSession.createDataFrame([], f"_key {kind}, _item {item_kind}")
     for s in range(shards):
-        part = wanted if shards == 1 else wanted.where(F.pmod(F.xxhash64("_item"), F.lit(shards)) == s)
-        index = docs.sparkSession.sparkContext.broadcast(Index([(r._item, r._text) for r in part.collect()]))  # about SHARD_CHARS characters
+        own = indexes.where(F.col("shard") == s).select("index").first()
+        if own is None:
+            continue
+        index = docs.sparkSession.sparkContext.broadcast(bytes(own["index"]))  # of about SHARD_CHARS characters
 
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
+            here = pickle.loads(index.value)
             for b in batches:
-                hits = index.value.search(b["_text"].tolist())
-                yield pd.DataFrame({"_key": [b["_key"].iat[n] for n, _ in hits], "_item": [index.value.ids[i] for _, i in hits]})
+                hits = here.search(b["_text"].tolist())
+                yield pd.DataFrame({"_key": [b["_key"].iat[n] for n, _ in hits], "_item": [here.ids[i] for _, i in hits]})
 
         one = src.mapInPandas(run, f"_key {kind}, _item {item_kind}")
-        found = one if found is None else found.unionByName(one)
-    return found.distinct().select(F.col("_key").alias(key), F.col("_item").alias(item_key))
+        if shards == 1:
+            found = one
+        else:  # written at once, so that no more than one shard's broadcast lives
+            found = found.unionByName(written(one))
+            index.destroy()
+    found = found.distinct()
+    if item_answer is None:
+        return found.select(F.col("_key").alias(key), F.col("_item").alias(item_key))
+    answers = items.select(F.col(item_key).alias("_item"), F.nullif(bare(F.col(item_answer)), F.lit("")).alias("_answer"))
+    texts = docs.select(F.col(key).alias("_key"), bare(F.col(text)).alias("_text"))
+    both = found.join(answers, "_item").join(texts, "_key").groupBy("_key", "_item").agg(F.max(F.col("_text").contains(F.col("_answer"))).alias("answered"))
+    return both.select(F.col("_key").alias(key), F.col("_item").alias(item_key), "answered")

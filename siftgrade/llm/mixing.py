@@ -4,8 +4,9 @@ Sizes are tokens of a public tokenizer over whole texts, counted once and writte
 Every record has a fixed 60-bit hash. A source that must give more than it has is used whole several
 times; the part beyond is the records whose hash is below a threshold. Thresholds come from histograms:
 tokens summed by source and the leading 10 bits, then only the boundary bucket by its next 10 bits, and
-so on until that bucket is a single record, so nothing is sorted and nothing but histograms, of 1024
-rows a source, reaches the driver. A larger budget keeps all records of a smaller one.
+so on until that bucket is a single record, so no record is sorted. The running sums over a histogram,
+1024 rows a source, are Spark's too; the driver gets one boundary bucket a source and level. A larger
+budget keeps all records of a smaller one.
 
 Defined cases: records without text, tokens or source, and of sources without a target, take no part;
 targets without records get nothing and are reported; null or negative shares count as 0, null repeats
@@ -16,29 +17,32 @@ large as the shares and repeats allow; with a size given, sources that run out a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 BITS, LEVELS = 10, 6
-#: Texts longer than this are counted in pieces, cut at line ends where there are any.
-PIECE = 100_000
 MAX_SOURCES = 10_000
 
 
-def _pieces(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > PIECE:
-        cut = text.rfind("\n", at + 1, at + PIECE)
-        cut = at + PIECE if cut < 0 else cut
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
+#: White space runs of this length are encoded apart: the tokenizer's pattern takes all of one but its last character as one match, but can't go through very long ones.
+_RUN = re.compile("[\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
+def n_tokens(coder, text: str) -> int:
+    """Tokens of a whole text."""
+    n = at = 0
+    for m in _RUN.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(coder.encode_ordinary(text[at : m.start()])) + len(coder._encode_single_piece(text[m.start() : end]))
+        at = end
+    return n + len(coder.encode_ordinary(text[at:] if at else text))
 
 
 def token_counts(docs: DataFrame, key: str, text: str, source: str, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -54,7 +58,7 @@ def token_counts(docs: DataFrame, key: str, text: str, source: str, tokenizer: s
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         coder = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
-            b["n_tokens"] = [sum(len(coder.encode_ordinary(p)) for p in _pieces(t)) for t in b["_text"]]
+            b["n_tokens"] = [n_tokens(coder, t) for t in b["_text"]]
             yield b[["_key", "source", "n_tokens"]]
 
     src = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("_text")).where("_key is not null and source is not null and _text <> ''")
@@ -75,24 +79,22 @@ def thresholds(tokens: DataFrame, budgets: dict[str, float]) -> dict[str, int]:
         here = F.broadcast(spark.createDataFrame(live, "source string, p long"))
         rest = BITS * (LEVELS - level)
         rows = tokens.join(here, "source").where(F.shiftright("h", rest + BITS) == F.col("p"))
-        hist = rows.groupBy("source", F.shiftright("h", rest).alias("b")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k")).collect()
-        by: dict[str, list] = {s: [] for s in left}
-        for r in hist:
-            by[r.source].append((r.b, r.n, r.k))
-        for s, buckets in by.items():
-            want = left[s]
-            for b, n, k in sorted(buckets):
-                if n > want:
-                    if k == 1 or level == LEVELS:  # a single record, or equal hashes: whichever is nearer
-                        out[s] = (b + (n - want < want)) << rest
-                        del left[s]
-                    else:
-                        left[s], prefix[s] = want, b
-                    break
-                want -= n
-            else:
+        hist = rows.groupBy("source", F.shiftright("h", rest).alias("b")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k"))
+        summed = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("b")))  # at most 2**BITS rows a source
+        want = F.broadcast(spark.createDataFrame(list(left.items()), "source string, want double"))
+        crossed = summed.join(want, "source").where(F.col("upto") > F.col("want"))
+        edge = {r.source: r.m for r in crossed.groupBy("source").agg(F.min_by(F.struct("b", "n", "k", "upto"), "b").alias("m")).collect()}  # one row a source
+        for s in list(left):
+            if s not in edge:
                 out[s] = (prefix[s] + 1) << (rest + BITS)
                 del left[s]
+                continue
+            m, more = edge[s], left[s] - (edge[s].upto - edge[s].n)
+            if m.k == 1 or level == LEVELS:  # a single record, or equal hashes: whichever is nearer
+                out[s] = (m.b + (m.n - more < more)) << rest
+                del left[s]
+            else:
+                left[s], prefix[s] = more, m.b
     return out
 
 

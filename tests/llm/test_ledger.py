@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -57,3 +60,36 @@ def test_arrival_batches(spark):
     n = {r[0]: r[1] for r in df.groupBy(ledger.arrival_batches(df, "at", 3).alias("b")).count().collect()}
     assert sorted(n) == [0, 1, 2] and min(n.values()) > 15
     assert df.limit(0).select(ledger.arrival_batches(df.limit(0), "at", 3)).count() == 0
+
+
+def test_a_later_process_goes_on(spark, tmp_path):
+    folder, here = str(tmp_path / "ledger"), os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.sql.warehouse.dir", {str(tmp_path / "w1")!r}).config("spark.checkpoint.dir", {str(tmp_path / "c1")!r}).getOrCreate()
+from siftgrade.llm import ledger
+df = spark.createDataFrame([(5, "A b", "c"), (7, "a-B", "C"), (8, "x", "y")], "rule_id long, fieldname string, category string")
+ledger.build(ledger.keyed(df, "rule_id", ["fieldname", "category"]), folder={folder!r})
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=here, check=True, capture_output=True)
+    more = spark.createDataFrame([(2, "ab", "c"), (9, "new", "n")], "rule_id long, fieldname string, category string")
+    keys = ledger.keyed(more, "rule_id", ["fieldname", "category"])
+    led = ledger.build(keys, folder=folder)
+    assert led.version == 2 and {r.first: r.copies for r in led.read().collect()} == {2: 3, 8: 1, 9: 1}
+    again = ledger.Ledger(spark, folder=folder)
+    assert again.version == 2 and again.keys == 3 and again.read().count() == 3
+
+
+def test_buckets_grow_and_the_ledger_is_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "BUCKET_KEYS", 10)
+    rows = [(i, f"f{i % 300}", "c") for i in range(900)]
+    df = spark.createDataFrame(rows, "rule_id long, fieldname string, category string")
+    keys = ledger.keyed(df, "rule_id", ["fieldname", "category"], F.pmod(F.col("rule_id"), F.lit(3)))
+    led = ledger.build(keys, batches=3, folder=str(tmp_path / "l"))
+    assert led.buckets == 32 and led.read().where("copies = 3").count() == 300
+    batch = ledger.counted(keys).select("_key", "copies", "first").repartition(led.buckets, "_key")
+    both = led.read().join(batch, "_key", "full_outer")
+    both.write.format("noop").mode("overwrite").save()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("Scan parquet spark_catalog"):]
+    assert "Bucketed: true" in scan and plan.count("Exchange hashpartitioning(_key") == 1
