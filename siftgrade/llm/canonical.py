@@ -10,6 +10,9 @@ entries beforehand, and their winners merge by the rank used within one tree, so
 changes no result. Rows never shuffle with a single shard, so a value that a third of all rows hold is
 no hot key.
 
+Remarks that people put before or after a name are learned from the values themselves: what stands
+beside whole forms of many different entries, in many rows. A value is read with and without them.
+
 Defined cases: null and blank values, and values that are an entry's path, give no row; values without
 a letter or digit, longer than any form or beyond the threshold mean no entry (-1); ties go to the
 form with the smaller transposition-aware distance, then to the smaller id. An empty list means that
@@ -20,32 +23,45 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread, written
+from ..session import checked_broadcast, spread, written
 
 #: Forms in a shard's tree (some 100 bytes each), and shards at most.
 SHARD_FORMS, MAX_SHARDS = 200_000, 64
 #: Edits allowed: at most, as a share of the form's length, and, swaps counting once, of the entry's own name.
 MOST_EDITS, FORM_SHARE, NAME_SHARE = 5, 0.4, 0.75
-_BEFORE = re.compile(r"^(?:分类\s*:|可能是|\d+(?:\.\d+)*\.?\s+)")
-_AFTER = re.compile(r"(?:\(旧\)|-请确认|[?]|等|类|数据|相关)$")
+#: A remark: characters at most; different entries it stands beside, as a share of its rows or of all entries, whichever are fewer; share of all rows it is in.
+REMARK_CHARS, REMARK_ENTRIES, REMARK_ROWS = 8, 0.25, 1 / 250
 
 
 def bare(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKC", text).lower() if c.isalnum())
 
 
-def readings(value: str) -> list[str]:
-    """A value's letters and digits: as written, and without the remarks people put around a name."""
-    text = unicodedata.normalize("NFKC", value).strip()
-    inner = _BEFORE.sub("", text).strip()
-    return list(dict.fromkeys(r for r in map(bare, (text, inner, _AFTER.sub("", inner).strip())) if r))
+def masked(text: str) -> str:
+    """A remark's form: numbers are alike."""
+    return re.sub(r"\d+", "0", text)
+
+
+class Remarks:
+    """Reads values without the remarks before and after them; the longest that fits is taken off."""
+
+    def __init__(self, before: Iterable[str] = (), after: Iterable[str] = ()) -> None:
+        any_of = lambda ts: "|".join(re.escape(t).replace("0", r"\d+") for t in sorted(ts, key=lambda t: (-len(t), t))) or "(?!)"
+        self.before, self.after = re.compile(f"^(?:{any_of(before)})"), re.compile(f"(?:{any_of(after)})$")
+
+    def readings(self, value: str) -> list[str]:
+        """A value's letters and digits: as written, and without remarks."""
+        text = bare(value)
+        inner = self.before.sub("", text)
+        return list(dict.fromkeys(r for r in (text, inner, self.after.sub("", text), self.after.sub("", inner)) if r))
 
 
 def forms_of(cat_id: int, path: str, also: list[str] | None) -> list[tuple[str, int, int]]:
@@ -160,9 +176,9 @@ class BKTree:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def meant(self, values: list[str]) -> list[tuple[int, int, int]]:
+    def meant(self, values: list[str], remarks: Remarks = Remarks()) -> list[tuple[int, int, int]]:
         """(distance, swap-aware distance, cat_id) of each value's nearest form; a large distance and -1 if none is near."""
-        read = [[r for r in readings(v) if len(r) <= self.width + MOST_EDITS] for v in values]
+        read = [[r for r in remarks.readings(v) if len(r) <= self.width + MOST_EDITS] for v in values]
         flat = sorted({r for rs in read for r in rs})
         best: dict[str, tuple] = {}
         for most in (0, 1, 2, MOST_EDITS):  # a value found within a smaller radius has nothing nearer outside it
@@ -192,41 +208,73 @@ def settled_forms(ref: DataFrame) -> DataFrame:
     return forms.groupBy("form").agg(F.min_by(F.struct("cat_id", "name"), rank).alias("m")).select("form", "m.cat_id", "m.name")
 
 
+def learned(src: DataFrame, forms: DataFrame, shards: int) -> Remarks:
+    """The remarks in src(_value) around whole forms(form, cat_id)."""
+    total = src.count()
+    found = None
+    for s in range(shards):
+        own = {r.form: r.cat_id for r in _shard(forms, s, shards).collect() if r.cat_id >= 0}  # about SHARD_FORMS at most
+
+        def run(batches: Iterator[pd.DataFrame], own: dict[str, int] = own) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                n: Counter = Counter()
+                for value, k in b["_value"].value_counts().items():
+                    text = bare(value)
+                    for i in range(1, min(len(text) - 1, REMARK_CHARS) + 1):
+                        if (entry := own.get(text[i:])) is not None:
+                            n["before", masked(text[:i]), entry] += k
+                        if (entry := own.get(text[:-i])) is not None:
+                            n["after", masked(text[-i:]), entry] += k
+                yield pd.DataFrame([(*key, k) for key, k in n.items()], columns=["side", "remark", "entry", "n"])
+
+        one = src.select("_value").mapInPandas(run, "side string, remark string, entry long, n long").groupBy("side", "remark", "entry").agg(F.sum("n").alias("n"))
+        found = one if found is None else found.unionByName(one)
+    entries = forms.where("cat_id >= 0").agg(F.countDistinct("cat_id")).first()[0]
+    often = found.groupBy("side", "remark").agg(F.countDistinct("entry").alias("entries"), F.sum("n").alias("n"))
+    many = F.greatest(F.lit(2.0), REMARK_ENTRIES * F.least(F.lit(entries), F.col("n")))
+    often = often.where((F.col("entries") >= many) & (F.col("n") >= REMARK_ROWS * total)).collect()  # few: each takes its share of the rows
+    return Remarks([r.remark for r in often if r.side == "before"], [r.remark for r in often if r.side == "after"])
+
+
+def _shard(forms: DataFrame, s: int, shards: int) -> DataFrame:
+    return forms.where(F.pmod(F.hash("form"), F.lit(shards)) == s)
+
+
 def mapped(rows: DataFrame, key: str, value: str, ref: DataFrame) -> DataFrame:
     """(key, cat_id): the entry meant by each value that isn't blank or a path; -1 if none.
 
     ref(cat_id, path, also_called).
     """
     paths = ref.select(F.col("path").alias("_path")).where("_path is not null").distinct()
-    n_forms = ref.agg(F.coalesce(F.sum(1 + F.greatest(F.size("also_called"), F.lit(0))), F.lit(0)) * 8).first()[0]
-    shards = max(1, -(-n_forms // SHARD_FORMS))
+    forms = written(settled_forms(ref))
+    shards = max(1, -(-forms.count() // SHARD_FORMS))
     if shards > MAX_SHARDS:
         raise ValueError(f"the reference list needs {shards} shards; {MAX_SHARDS} are allowed")
     src = rows.select(F.col(key).alias("_key"), F.col(value).alias("_value")).where(F.col("_value").rlike(r"(?U)[^\s\x1c-\x1f]"))
-    src = src.join(F.broadcast(paths), F.col("_value") == F.col("_path"), "left_anti")
+    src = src.join(checked_broadcast(paths), F.col("_value") == F.col("_path"), "left_anti")
     src = spread(src)
+    remarks = learned(src, forms, shards)
     kind = src.schema["_key"].dataType.simpleString()
-    forms, found = None if shards == 1 else written(settled_forms(ref)), None
     extra = [] if shards == 1 else ["_value", "edits", "swaps"]
     schema = f"_key {kind}, cat_id int" + (", _value string, edits int, swaps int" if extra else "")
+    found = None
     for s in range(shards):
-        if forms is None:
-            own = [f for r in ref.select("cat_id", "path", "also_called").collect() for f in forms_of(*r)]
-        else:
-            own = [tuple(r) for r in forms.where(F.pmod(F.hash("form"), F.lit(shards)) == s).collect()]  # about SHARD_FORMS at most
-        tree = BKTree(own)
+        tree = src.sparkSession.sparkContext.broadcast(BKTree([tuple(r) for r in _shard(forms, s, shards).collect()]))  # about SHARD_FORMS at most
 
-        def run(batches: Iterator[pd.DataFrame], tree: BKTree = tree) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], tree=tree) -> Iterator[pd.DataFrame]:
             known: dict[str, tuple[int, int, int]] = {}
             for b in batches:
                 if len(known) > 200_000:
                     known.clear()
                 new = [v for v in b["_value"].unique() if v not in known]
-                known |= zip(new, tree.meant(new))
+                known |= zip(new, tree.value.meant(new, remarks))
                 b["edits"], b["swaps"], b["cat_id"] = zip(*(known[v] for v in b["_value"])) if len(b) else ([], [], [])
                 yield b[["_key", "cat_id", *extra]]
 
         one = src.mapInPandas(run, schema)
+        if shards > 1:  # written at once, so that no more than one shard's tree is broadcast
+            one = written(one)
+            tree.destroy()
         found = one if found is None else found.unionByName(one)
     if shards > 1:  # every row comes once from each shard; rows that are equal stay as many
         best = F.min_by("cat_id", F.struct("edits", "swaps", "cat_id")).alias("cat_id")

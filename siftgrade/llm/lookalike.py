@@ -2,10 +2,12 @@
 
 Look-alike pairs link code points and short strings: width and code variants, spaces, invisible
 characters (like the empty string), a letter with combining accents and its composed form, letters of
-other scripts that look Latin. Union-find closes them into classes. The representative of a class is
-its most frequent ordinary member in the corpus, counted over all texts; a multi-pattern automaton
-then rewrites greedily, longest pattern first, until nothing changes. Members in another script are
-rewritten only inside words that are not wholly in that script.
+other scripts that look Latin, radicals and the one or more ideographs they look like. Union-find closes
+them into classes. The representative of a class is its most frequent ordinary member in the corpus,
+counted over all texts; it decides where a class has several, as 月 and 肉 beside their common radical,
+and 1,900 of the classes have only one. A multi-pattern automaton then rewrites greedily, longest
+pattern first, until nothing changes. Ordinary members are never rewritten themselves; those in another
+script are rewritten only inside words that are not wholly in that script.
 
 Defined cases: null stays null, '' stays ''; texts of any length are rewritten whole; a text in
 ordinary form gives no row. The tables of classes depend on Unicode alone, a few thousand entries.
@@ -29,6 +31,12 @@ from ..session import spread
 # Letters that look like a Latin letter, by script, each followed by it.
 CYRILLIC = "АA ВB СC ЕE НH ІI ЈJ КK МM ОO РP ЅS ТT УY ҮY ХX ԚQ ԜW аa сc ԁd еe һh іi јj кk ӏl оo рp ԛq ѕs уy үy хx ԝw".split()
 GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa ιi κk νv οo ρp υu χx".split()
+# Radicals without a compatibility form, each followed by the ideographs it looks like.
+RADICALS = (
+    "⺁厂 ⺂乛 ⺃乚 ⺄乙 ⺅亻 ⺆冂 ⺇几 ⺉刂 ⺊卜 ⺋㔾 ⺌小 ⺍小 ⺎兀 ⺏尣 ⺐尢 ⺒巳 ⺓幺 ⺔彑 ⺕彐 ⺖忄 ⺗心 ⺘扌 ⺙攵 ⺛旡 ⺜日曰 ⺝月 ⺞歺 ⺠民 ⺡氵 ⺢水 ⺣灬 ⺤爫 ⺥爫 ⺦丬 ⺧牛 ⺨犭 "
+    "⺩王玉 ⺪疋 ⺫目罒 ⺬示 ⺭礻 ⺮竹 ⺯糹 ⺰纟 ⺱罓 ⺲罒 ⺳罓 ⺴罓 ⺶羊 ⺷羊 ⺸羊 ⺹耂 ⺺聿 ⺻聿 ⺼月肉 ⺽臼 ⺾艹 ⺿艹 ⻀艹 ⻁虎 ⻂衤 ⻃覀 ⻄西 ⻅见 ⻆角 ⻇角 ⻈讠 ⻉贝 ⻊足 ⻋车 ⻌辶 ⻍辶 ⻎辶 ⻏阝 ⻐钅 "
+    "⻑長 ⻒镸 ⻓长 ⻔门 ⻕阜 ⻖阝 ⻗雨 ⻘青 ⻙韦 ⻚页 ⻛风 ⻜飞 ⻝食 ⻞食 ⻟飠 ⻠饣 ⻡首 ⻢马 ⻣骨 ⻤鬼 ⻥鱼 ⻦鸟 ⻧卤 ⻨麦 ⻩黄 ⻪黾 ⻫斉 ⻬齐 ⻭歯 ⻮齿 ⻯竜 ⻰龙 ⻱龜 ⻲亀"
+).split()
 SPACES = "               　"
 #: Code blocks whose members are written by their compatibility form: radicals, compatibility ideographs, mathematical letters.
 CODE_BLOCKS = ((0x2E80, 0x2FD5), (0xF900, 0xFAFF), (0x1D400, 0x1D7FF), (0x2F800, 0x2FA1F))
@@ -52,6 +60,7 @@ def pairs() -> list[tuple[str, str, str]]:
         out.append((chr(i), unicodedata.normalize("NFKC", chr(i)), "always"))
     for low, high in CODE_BLOCKS:
         out += [(chr(i), f, "always") for i in range(low, high + 1) if len(f := unicodedata.normalize("NFKC", chr(i))) == 1 and f != chr(i)]
+    out += [(r[0], one, "always") for r in RADICALS for one in r[1:]]
     for i in range(0xC0, 0x2000):
         ch = chr(i)
         apart = unicodedata.normalize("NFD", ch)

@@ -88,11 +88,36 @@ def _runs(key: str, tbl: str) -> str:
     return f"select distinct {key}, substring(t, i, 50) as w from (select {key}, t, unnest(generate_series(1, length(t) - 49)) as i from ({bare}))"
 
 
+def _confusables() -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """(code forms, look-alike letters) for the check, from the decompositions and names of Unicode, not from the operator's classes.
+
+    Radicals stand for what their own NFKC form says; those of several ideographs don't occur in the tables.
+    """
+    import unicodedata as u
+
+    ones, letters = [], []
+    for i in range(0x80, 0x110000):
+        c, apart = chr(i), u.decomposition(chr(i)).split()
+        if u.category(c) == "Cf" and not u.name(c, "").startswith(("ARABIC", "SYRIAC", "KAITHI")) or 0xFE00 <= i <= 0xFE0F:
+            ones.append((c, ""))
+        elif u.category(c) == "Zs":
+            ones.append((c, " "))
+        elif apart and (apart[0] == "<wide>" and u.name(c).startswith(("FULLWIDTH LATIN", "FULLWIDTH DIGIT")) or u.name(c, "").startswith(("CJK COMPAT", "KANGXI", "CJK RADICAL", "MATHEMATICAL"))):
+            one = u.normalize("NFKC", c)
+            ones += [(c, one)] if len(one) == 1 else []
+    alike = dict(zip("АВСЕНІЈКМОРЅТУҮХԚԜасԁеһіјкӏорԛѕуүхԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυχ", "ABCEHIJKMOPSTYYXQWacdehijklopqsyyxwABEZHIKMNOPTYXaikvopux"))
+    for i in range(0x370, 0x2000):
+        apart = u.normalize("NFD", chr(i))
+        to = u.normalize("NFC", alike.get(apart[0], "") + apart[1:])
+        if apart[0] in alike and len(to) == 1:
+            letters.append((chr(i), to))
+    return ones, letters
+
+
 def _plain_sql(x: str) -> str:
     """Code by code translation, then words, then composed accents; only for texts without other forms to compose."""
-    ones = [(a, b) for a, b, kind in lookalike.pairs() if kind == "always" and len(a) == 1]
+    ones, mixed = _confusables()
     kept, gone = [(a, b) for a, b in ones if b], "".join(a for a, b in ones if not b)
-    mixed = [(a, b) for a, b, kind in lookalike.pairs() if kind == "mixed" and len(a) == 1]
     swap = lambda x, ps: f"translate({x}, '{''.join(a for a, _ in ps)}', '{''.join(b for _, b in ps)}')"
     base = swap(f"translate({x}, '{gone}', '')", kept)
     letters = r"A-Za-z\x{C0}-\x{24F}\x{370}-\x{3FF}\x{400}-\x{52F}\x{1E00}-\x{1FFF}\x{300}-\x{36F}"

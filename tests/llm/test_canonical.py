@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from siftgrade.llm import canonical
 
@@ -65,3 +66,15 @@ def test_shards_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(canonical, "SHARD_FORMS", 150)
     assert sorted(map(tuple, canonical.mapped(df, "id", "typed", refs).collect())) == one
     assert (1, 1) in one and [r for r in one if r[0] == 0] == [(0, 1), (0, 2), (0, 2)]
+
+
+def test_remarks_are_learned_from_the_values(spark):
+    ref = spark.createDataFrame([(i, f"a{i}/b{i}/entry{chr(97 + i) * 6}", None) for i in range(20)], "cat_id int, path string, also_called array<string>")
+    name = lambda i: f"entry{chr(97 + i) * 6}"
+    rows = [f"maybe {name(i)}" for i in range(12)] + [f"{i}.{i} {name(i)}" for i in range(12)] + [f"{name(i)} (old)" for i in range(12)] + [f"{name(1)}odd"] * 30 + [name(i) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, v string")
+    forms = canonical.settled_forms(ref)
+    got = canonical.learned(df.select(F.col("v").alias("_value")), forms, 1)
+    assert got.readings("Maybe: X") == ["maybex", "x"] and got.readings("12.3 x") == ["123x", "x"] and got.readings("7 x (old)") == ["7xold", "xold", "7x", "x"]
+    assert got.readings("xodd") == ["xodd"]  # beside one entry only
+    assert canonical.learned(df.select(F.col("v").alias("_value")), forms, 3).readings("7 x (old)") == got.readings("7 x (old)")

@@ -48,6 +48,22 @@ def test_on_tables(spark):
     assert lookalike.ordinary(df.limit(0), "text", ["id"]).count() == 0
 
 
+def test_frequencies_choose_among_ordinary_members(spark):
+    """月 and 肉 share a radical: what the corpus writes more often represents it, and neither is rewritten."""
+    for common, other in (("月", "肉"), ("肉", "月")):
+        df = spark.createDataFrame([(1, "⺼类"), (2, common * 3), (3, other), (4, "⺼")], "id long, t string")
+        got = {r.id: r.plain for r in lookalike.ordinary(df, "t", ["id"]).collect()}
+        assert got == {1: f"{common}类", 4: common}
+    several = [ms for ms in lookalike.classes().values() if {"日", "曰"} <= set(ms)]
+    assert several and "⺜" in several[0]
+
+
+def test_radicals(rewriter):
+    assert rewriter.plain("⻔牌⻢达⻉壳") == "门牌马达贝壳"
+    for entry in lookalike.RADICALS:
+        assert 0x2E80 <= ord(entry[0]) <= 0x2EF3 and all(not 0x2E80 <= ord(c) <= 0x2FDF for c in entry[1:])
+
+
 def test_frequencies(spark):
     df = spark.createDataFrame([("aab",), (None,), ("",), ("b水",)], "t string")
     assert {chr(r.cp): r.n for r in lookalike.frequencies(df, "t").collect()} == {"a": 2, "b": 2, "水": 1}
