@@ -1,248 +1,288 @@
 """Pages of repeated keywords, links, menus, goods lines or tags instead of sentences.
 
-A page's segments (lines and sentences) show clause structure when function words are as dense in them
-as in running text and no link stands in them; that is a built-in expression on every page. Substrings
-that the page repeats come from a suffix automaton of the whole page: at every position the longest
-suffix that occurs so often is known from the automaton's states, and the union of those of a least
-length is what they cover. Both decide together:
-
-- characters are suspect in segments without clause structure, and in any segment where keywords stand,
-  substrings that come back at least once per KEYWORD_EVERY characters; most of a page must be suspect;
-- of its suspect letters, repetition must cover LEAST_REPEATED more than in the same characters
-  shuffled, so that names, headings or figures that don't repeat themselves are no spam. Numbers count
-  as one digit here, or goods lines would differ by their prices.
-
-A bound on the keywords' cover, from hashed substrings of the least length, spares most pages the
-automaton without changing a result.
+Two measures decide together:
+
+- Clause structure. Which tokens (words, or characters of scripts without spaces) make clauses is counted
+  over the whole corpus: those that are widely spread over the pages and whose share of all tokens in
+  segments with a sentence mark at the end is at least AFFINITY times their share in lines and fragments
+  without one. A segment has clause structure if such tokens are dense in it. No words are given.
+- Repetition. Every page's suffix automaton over its tokens gives at every position the longest suffix
+  that the page repeats, or repeats so often; the union of those of a least length is what repeated
+  maximal substrings cover. Where they come back at least once per KEYWORD_EVERY characters they are
+  keywords. Of pages that are suspect so far a second automaton, over the characters, measures the cover.
+
+Characters are suspect in segments without clause structure, and where keywords stand. A page is spam if
+most of it is suspect and repetition covers at least LEAST_REPEATED more of its suspect letters than of
+the same characters shuffled, so that names, headings or figures that don't repeat themselves are no
+spam. Numbers are no clause tokens, and count as one digit in that cover, or goods lines would differ by
+their prices.
 
 Defined cases: null and empty texts give no row; a page without any repetition is no spam however
-short; one passage over and over is keywords; pages beyond AUTOMATON_CHARS are measured by repeated
-substrings of exactly the least length, whose union covers the same characters.
+short; one passage over and over is keywords. Texts of any length are measured whole. Beyond
+AUTOMATON_LENGTH tokens or characters the cover is taken from hashed runs of exactly the least length,
+whose union is the same; two different runs of n share a 64-bit hash with a chance below n * n / 2**64.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
 
-#: Share of a page's characters that is suspect at least, and cover by repetition above chance of those.
-MOST_PROSE, LEAST_REPEATED = 0.5, 0.1
-#: Keywords: characters per occurrence at most, occurrences at least, and least lengths in Han and other pages.
-KEYWORD_EVERY, KEYWORD_TIMES, KEYWORD_HAN, KEYWORD_OTHER = 100, 5, 4, 8
-#: Wide characters per function character, and words per function word, at most in running text.
-HAN_SPREAD, WORD_SPREAD = 35, 9
-#: Wide characters per list mark, at least, in running text.
-LIST_MARKS, LIST_SPREAD = " |>、/#\t", 8
-#: Lengths of repeated substrings in a page mostly of Han characters, and in another, beside that of chance.
+#: Share of a page's characters that is suspect at least, and cover of its letters by repetition above chance.
+MOST_PROSE, LEAST_REPEATED = 0.5, 0.15
+#: Clause tokens: share of all pages they are on, and how much more often in sentences than in fragments, at least.
+LEAST_SPREAD, AFFINITY = 0.01, 10.0
+#: Share of a segment's tokens that are clause tokens, at least, where it has clause structure.
+DENSITY = 0.125
+#: Keywords: characters per occurrence at most, occurrences and tokens at least.
+KEYWORD_EVERY, KEYWORD_TIMES, KEYWORD_HAN, KEYWORD_WORDS = 100, 5, 4, 2
+#: Lengths in characters of repeated substrings in a page mostly of single tokens, and in another, beside that of chance.
 LENGTHS_HAN, LENGTHS_OTHER = (2, 3, 4), (6,)
-AUTOMATON_CHARS = 200_000
-# Function characters and function words.
-FUNCTION_HAN = "的是不由应按为与将把可并其而以于被者但若须从至所仍曾一后当如或及且即这那我你他们只没也都还则已让给使需对经除"
-FUNCTION_WORDS = (
-    "the a an of is are was were to and in that for with by must may not only on from as be it its until unless where when "
-    "before after which this these then has have had can should will would into over under at or so if than but"
-).split()
-_HOST = r"\.(?:example|test|invalid|com|net|org|cn)\b"
-_SEGMENT = r"(?<=[。！？!?\n])|(?<=[a-z0-9)]\.)(?=\s)"
-
-
-def segments(text: Column) -> Column:
-    return F.split(text, _SEGMENT, -1)
-
-
-def has_link(low: Column) -> Column:
-    """Whether a segment in lower case holds a link; the plain searches spare most of them the pattern."""
-    return low.contains("http") | low.contains("www.") | low.contains("href=") | (low.contains(".") & low.rlike(_HOST))
-
-
-def is_prose(seg: Column) -> Column:
-    """Whether a segment has clause structure.
-
-    Wide characters are counted by their bytes, function characters by taking them out: both are far
-    cheaper than patterns over every character.
-    """
-    low = F.lower(seg)
-    wide = (F.octet_length(seg) - F.length(seg)) / 2
-    words = F.regexp_count(seg, F.lit("[A-Za-zÀ-ɏ]+"))
-    chars = F.length(seg) - F.length(F.translate(seg, FUNCTION_HAN, ""))
-    said = F.regexp_count(low, F.lit(rf"\b(?:{'|'.join(FUNCTION_WORDS)})\b"))
-    marks = F.length(seg) - F.length(F.translate(seg, LIST_MARKS, ""))
-    return F.when(wide >= 2 * words, (chars > 0) & (wide <= HAN_SPREAD * chars) & (LIST_SPREAD * marks <= wide)).otherwise((said > 0) & (words <= WORD_SPREAD * said)) & ~has_link(low)
-
-
-def reaches(text: str, times: int = 2) -> np.ndarray:
-    """At every position the length of the longest suffix that occurs so often in the text, by suffix automaton."""
-    follow: list[dict[str, int]] = [{}]
-    link, length, count, at = [-1], [0], [0], []
-    last = 0
-    for c in text:
-        new = len(follow)
-        follow.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        count.append(1)
-        p = last
-        while p >= 0 and c not in follow[p]:
-            follow[p][c] = new
-            p = link[p]
-        if p >= 0:
-            q = follow[p][c]
-            if length[p] + 1 == length[q]:
-                link[new] = q
+#: Tokens or characters up to which an automaton is built, some 300 bytes each.
+AUTOMATON_LENGTH = 500_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+OTHER, SINGLE, LETTER, DIGIT = 0, 1, 2, 3
+_KIND, _MARK, _LINE, _POINT, _GAP = 3, 4, 8, 16, 32  # bits of a code point: its kind; sentence mark, line end, full stop, space
+
+
+@lru_cache(1)
+def _bits() -> np.ndarray:
+    """What every code point is; single tokens are characters of scripts written without spaces."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in [*range(0x3040), *range(0xA000, 0x20000)]:
+        c = unicodedata.category(chr(i))
+        out[i] = LETTER if c[0] == "L" or c[0] == "M" else DIGIT if c == "Nd" else OTHER
+    for low, high in ((0x3040, 0x3100), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0x20000, 0x323B0)):
+        out[low:high] = SINGLE
+    for chars, bit in (("。！？!?", _MARK), ("\n", _LINE), (".", _POINT), (" \t\r", _GAP)):
+        for c in chars:
+            out[ord(c)] |= bit
+    return out
+
+
+@lru_cache(1)
+def _powers() -> np.ndarray:
+    return np.cumprod(np.concatenate(([np.uint64(1)], np.full(4095, _BASE, np.uint64))))
+
+
+class Pages:
+    """Texts as tokens and segments in arrays, all in one row: token i starts at start[i] and lies in segment of[i]."""
+
+    def __init__(self, texts: list[str]) -> None:
+        low = [t.lower() for t in texts]
+        self.offset = np.concatenate(([0], np.cumsum([len(t) + 1 for t in low]))).astype(np.int64)
+        code = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.code = code
+        bits = _bits()[code]
+        kind = bits & _KIND
+        before = np.concatenate((np.zeros(1, np.uint8), kind[:-1]))
+        first = (kind == SINGLE) | (kind > SINGLE) & (kind != before)
+        self.start = np.flatnonzero(first)
+        self.size = np.append(self.start[1:], len(code)) - self.start
+        mark = (bits & _MARK > 0) | (bits & _POINT > 0) & (before >= SINGLE) & (np.append(bits[1:], _LINE) & (_LINE | _GAP) > 0)
+        ends = mark | (bits & _LINE > 0)
+        seg = np.cumsum(ends) - ends
+        self.chars = np.bincount(seg)
+        self.sentence = np.zeros(len(self.chars), bool)  # whether a segment ends with a sentence mark
+        self.sentence[seg[mark]] = True
+        self.of, self.seg = seg[self.start], seg
+        self.token, self.number = np.zeros(0, np.uint64), kind[self.start] == DIGIT
+        self.han = np.concatenate(([0], np.cumsum(kind == SINGLE))), np.concatenate(([0], np.cumsum(kind != OTHER)))
+        if len(self.start):
+            value = np.zeros(len(code), np.uint64)
+            letters, singles = np.flatnonzero(kind >= LETTER), np.flatnonzero(kind == SINGLE)
+            place = letters - self.start[np.cumsum(first)[letters] - 1]
+            value[letters] = code[letters] * _powers()[place & 4095]
+            value[singles] = code[singles]
+            self.token = np.add.reduceat(value, self.start)
+        self.cut = np.searchsorted(self.start, self.offset)  # the first token of each text
+
+    def clause_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(tokens, occurrences in sentences, other occurrences, texts with it) of each distinct token; all numbers are token 0."""
+        tokens, which = np.unique(np.where(self.number, np.uint64(0), self.token), return_inverse=True)
+        n, said = len(tokens), self.sentence[self.of]
+        texts = [np.unique(which[a:b]) for a, b in zip(self.cut[:-1], self.cut[1:])]
+        return tokens, np.bincount(which[said], minlength=n), np.bincount(which[~said], minlength=n), np.bincount(np.concatenate(texts), minlength=n)
+
+    def bare(self, clause: np.ndarray) -> np.ndarray:
+        """Which segments lack clause structure, given the sorted clause tokens."""
+        at = np.searchsorted(clause, self.token)
+        hit = clause[np.minimum(at, len(clause) - 1)] == self.token if len(clause) else np.zeros(len(self.token), bool)
+        hit &= ~self.number
+        n = np.bincount(self.of, minlength=len(self.chars))
+        return np.bincount(self.of[hit], minlength=len(self.chars)) < np.maximum(1, DENSITY * n)
+
+
+class Automaton:
+    """The suffix automaton of a sequence: suffix links and lengths of its states, and the state of every prefix."""
+
+    def __init__(self, sequence: list[int]) -> None:
+        follow: list[dict[int, int]] = [{}]
+        link, length, at = [-1], [0], []
+        last, n = 0, 0
+        for c in sequence:
+            new = len(follow)
+            follow.append({})
+            n += 1
+            length.append(n)
+            p = last
+            while p >= 0 and c not in (next_ := follow[p]):
+                next_[c] = new
+                p = link[p]
+            if p < 0:
+                link.append(0)
             else:
-                twin = len(follow)
-                follow.append(follow[q].copy())
-                length.append(length[p] + 1)
-                link.append(link[q])
-                count.append(0)
-                while p >= 0 and follow[p].get(c) == q:
-                    follow[p][c] = twin
-                    p = link[p]
-                link[q] = link[new] = twin
-        last = new
-        at.append(new)
-    order = sorted(range(1, len(follow)), key=length.__getitem__)
-    for s in reversed(order):
-        if link[s] > 0:
+                q = next_[c]
+                if length[p] + 1 == length[q]:
+                    link.append(q)
+                else:
+                    twin = new + 1
+                    follow.append(follow[q].copy())
+                    length.append(length[p] + 1)
+                    link.append(twin)
+                    link.append(link[q])
+                    link[q] = twin
+                    while p >= 0 and (next_ := follow[p]).get(c) == q:
+                        next_[c] = twin
+                        p = link[p]
+            last = new
+            at.append(new)
+        self.link, self.length, self.at = np.array(link), np.array(length), np.array(at, np.int64)
+
+    def reach(self, times: int = 2) -> np.ndarray:
+        """At every position the length of the longest suffix that occurs so often in the sequence."""
+        if times <= 2:  # a state with another below it occurs twice, and so does what any state links to
+            twice = np.zeros(len(self.link), bool)
+            twice[self.link[1:]] = True
+            return np.where(twice[self.at], self.length[self.at], self.length[self.link[self.at]])
+        link, length = self.link.tolist(), self.length.tolist()
+        count = [0] * len(link)
+        for s in self.at.tolist():
+            count[s] = 1
+        order = np.argsort(self.length, kind="stable").tolist()
+        for s in reversed(order[1:]):
             count[link[s]] += count[s]
-    longest = [0] * len(follow)
-    for s in order:
-        longest[s] = length[s] if count[s] >= times else longest[link[s]]
-    return np.fromiter((longest[s] for s in at), np.int64, len(at))
+        longest = [0] * len(link)
+        for s in order[1:]:
+            longest[s] = length[s] if count[s] >= times else longest[link[s]]
+        return np.array(longest)[self.at] if len(self.at) else np.zeros(0, np.int64)
 
 
-def reached(reach: np.ndarray, least: int) -> np.ndarray:
-    """Which characters those suffixes cover, of at least this length."""
+def covered(reach: np.ndarray, least: int) -> np.ndarray:
+    """Which positions those suffixes cover, of at least this length."""
     ends = np.flatnonzero(reach >= least)
-    edges = np.zeros(len(reach) + 1, np.int64)
-    np.add.at(edges, ends - reach[ends] + 1, 1)
-    np.add.at(edges, ends + 1, -1)
-    return np.cumsum(edges[:-1]) > 0
-
+    n = len(reach) + 1
+    return np.cumsum(np.bincount(ends - reach[ends] + 1, minlength=n) - np.bincount(ends + 1, minlength=n))[:-1] > 0
 
-def repeated(text: str, least: int, times: int = 2) -> np.ndarray:
-    """Which characters substrings of at least this length that occur so often cover."""
-    return reached(reaches(text, times), least)
 
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _grams(code: np.ndarray, least: int) -> np.ndarray:
-    code = code.astype(np.uint64)
-    n = max(0, len(code) - least + 1)
-    grams = np.zeros(n, np.uint64)
+def run_cover(sequence: np.ndarray, least: int, times: int = 2) -> np.ndarray:
+    """The same cover from the runs of exactly this length that occur so often, by their hashes."""
+    n = max(0, len(sequence) - least + 1)
+    runs = np.zeros(n, np.uint64)
     for i in range(least):
-        grams = grams * np.uint64(0x110001 if least <= 3 else 0x9E3779B97F4A7C15) + code[i : i + n]
-    return grams
-
-
-def _cover(often: np.ndarray, least: int, n: int) -> np.ndarray:
-    """The characters under the substrings of this length that start where `often` is true."""
-    out = np.zeros(n, bool)
-    for i in range(least if len(often) else 0):
-        out[i : i + len(often)] |= often
+        runs = runs * _BASE + sequence[i : i + n].astype(np.uint64)
+    _, which, count = np.unique(runs, return_inverse=True, return_counts=True)
+    out = np.zeros(len(sequence), bool)
+    for i in range(least if n else 0):
+        out[i : i + n] |= count[which] >= times
     return out
 
 
-def _repeated_codes(code: np.ndarray, least: int, times: int = 2) -> np.ndarray:
-    _, inverse, n_each = np.unique(_grams(code, least), return_inverse=True, return_counts=True)
-    return _cover(n_each[inverse] >= times, least, len(code))
-
+class Repetition:
+    """What repeated substrings cover of a sequence of numbers."""
 
-def repeated_long(text: str, least: int, times: int = 2) -> np.ndarray:
-    """The same for a text too long for an automaton in a task: repeated substrings of exactly this length."""
-    return _repeated_codes(_codes(text), least, times)
+    def __init__(self, sequence: np.ndarray) -> None:
+        self.sequence = sequence
+        self.automaton = Automaton(sequence.tolist()) if len(sequence) <= AUTOMATON_LENGTH else None
+        self.reach: dict[int, np.ndarray] = {}
 
+    def cover(self, least: int, times: int = 2) -> np.ndarray:
+        if self.automaton is None:
+            return run_cover(self.sequence, least, times)
+        if times not in self.reach:
+            self.reach[times] = self.automaton.reach(times)
+        return covered(self.reach[times], least)
 
-_HAN = re.compile("[一-鿿]")
 
-
-def is_han(text: str) -> bool:
-    return 2 * len(_HAN.findall(text)) >= len(text) - text.count(" ")
-
-
-def keyword_bound(code: np.ndarray, least: int, times: int) -> float:
-    """At least the share that keywords cover: substrings counted by hash, where a collision only adds."""
-    bits = max(13, int(4 * len(code)).bit_length())
-    grams = (_grams(code, least) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
-    often = np.bincount(grams, minlength=1)[grams] >= times
-    return float(_cover(often, least, len(code)).mean()) if often.any() else 0.0
-
-
-def keywords(text: str, bare_share: float) -> np.ndarray | None:
-    """Which characters keywords cover; None if they can't make most of the page suspect."""
-    code = _codes(text)
-    least, times = KEYWORD_HAN if is_han(text) else KEYWORD_OTHER, max(KEYWORD_TIMES, -(-len(text) // KEYWORD_EVERY))
-    if bare_share + keyword_bound(code, least, times) <= MOST_PROSE:
-        return None
-    return (repeated if len(text) <= AUTOMATON_CHARS else repeated_long)(text, least, times)
-
-
-def above_chance(text: str, suspect: np.ndarray) -> float:
+def above_chance(code: np.ndarray, suspect: np.ndarray, han: bool) -> float:
     """Of the suspect letters, the share that repetition covers, less what it covers in the characters shuffled."""
-    code = _codes(text)
-    digit = (code >= 48) & (code <= 57)
+    kind = _bits()[code] & _KIND
+    digit = kind == DIGIT
     kept = ~(digit & np.concatenate(([False], digit[:-1])))
-    code, suspect = np.where(digit, np.uint32(48), code)[kept], suspect[kept]
-    letter = ((code | 32) >= 97) & ((code | 32) <= 122) | (code >= 0xC0) & ~((code >= 0x2000) & (code < 0x2E80) | (code >= 0x3000) & (code < 0x3040) | (code >= 0xFF00) & (code < 0xFF21))
-    suspect = suspect & letter
-    if not suspect.any():
+    code, letter = np.where(digit, np.uint32(48), code)[kept], suspect[kept] & ((kind == LETTER) | (kind == SINGLE))[kept]
+    if not letter.any():
         return 0.0
-    share = np.unique(code, return_counts=True)[1] / len(code)
-    same = float((share * share).sum())
+    part = np.unique(code, return_counts=True)[1] / len(code)
+    same = float((part * part).sum())
     chance = 1 + int(np.ceil(2 * np.log(len(code)) / -np.log(same))) if same < 1 else 1
-    mixed = np.random.default_rng(0).permutation(code)
-    reach = reaches(code.tobytes().decode("utf-32-le", "surrogatepass")) if len(code) <= AUTOMATON_CHARS else None
-    found = lambda n: _repeated_codes(code, n) if reach is None else reached(reach, n)
-    return max(float(found(n)[suspect].mean()) - float(_repeated_codes(mixed, n).mean()) for n in {*(LENGTHS_HAN if is_han(text) else LENGTHS_OTHER), chance})
-
-
-def judged(parts: list[str], bare: list[bool], bare_share: float) -> tuple[float, float]:
-    """(share of suspect characters, cover of their letters by repetition above chance) of a page."""
-    text = "".join(parts)
-    keyword = None if bare_share > MOST_PROSE else keywords(text, bare_share)
-    if keyword is None and bare_share <= MOST_PROSE:
-        return bare_share, 0.0
-    suspect = np.repeat(np.array(bare, bool), np.fromiter(map(len, parts), np.int64, len(parts)))
-    if keyword is not None:
-        suspect = suspect | keyword
-    share = float(suspect.mean())
-    return share, above_chance(text, suspect) if share > MOST_PROSE else 0.0
-
-
-def measured(docs: DataFrame, key: str, text: str, above: float = -1.0) -> DataFrame:
-    """(_key, bare_share, parts, bare): each page's share without clause structure, and its segments.
-
-    Only pages above the given share. They are picked inside an array: a plain filter would be moved
-    below the projections and compute everything twice.
-    """
-    src = spread(docs).where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), segments(F.col(text)).alias("parts"))
-    src = src.withColumn("bare", F.transform("parts", lambda s: ~is_prose(s)))
-    total = lambda a: F.aggregate(a, F.lit(0), lambda t, x: t + x)
-    bare = total(F.zip_with("parts", "bare", lambda p, b: F.when(b, F.length(p)).otherwise(0)))
-    share = bare / total(F.transform("parts", F.length))
-    one = F.array(F.struct(share.alias("bare_share"), "parts", "bare"))
-    return src.select("_key", F.inline(F.filter(one, lambda p: p["bare_share"] > above)))
-
-
-def spam(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, bare_share, suspect_share, repeated_share) of the pages that are spam."""
+    mixed, whole = np.random.default_rng(0).permutation(code), Repetition(code)
+    return max(float(whole.cover(n)[letter].mean()) - float(run_cover(mixed, n).mean()) for n in {*(LENGTHS_HAN if han else LENGTHS_OTHER), chance})
+
+
+def judged(texts: list[str], clause: np.ndarray) -> list[tuple[float, float, float]]:
+    """(share without clause structure, suspect share, cover of suspect letters by repetition above chance) of each text."""
+    pages = Pages(texts)
+    bare = pages.bare(clause)
+    out = []
+    for i in range(len(texts)):
+        low, high, a, b = pages.offset[i], pages.offset[i + 1] - 1, pages.cut[i], pages.cut[i + 1]
+        if a == b:
+            out.append((1.0, 1.0, 0.0))
+            continue
+        suspect, length = bare[pages.seg[low:high]], int(high - low)
+        bare_share = float(suspect.mean())
+        tokens = Repetition(pages.token[a:b])
+        han = bool(2 * (pages.han[0][high] - pages.han[0][low]) >= pages.han[1][high] - pages.han[1][low])
+        least = KEYWORD_HAN if han else KEYWORD_WORDS
+        start, size = pages.start[a:b] - low, pages.size[a:b].copy()
+        size[-1] = length - start[-1]
+        if bare_share > MOST_PROSE or bare_share + size[tokens.cover(least)].sum() / length > MOST_PROSE:  # else no keyword can make most of it suspect
+            often = tokens.cover(least, max(KEYWORD_TIMES, -(-length // KEYWORD_EVERY)))
+            suspect = suspect | np.concatenate((np.zeros(start[0], bool), np.repeat(often, size)))
+        share = float(suspect.mean())
+        out.append((bare_share, share, above_chance(pages.code[low:high], suspect, han) if share > MOST_PROSE else 0.0))
+    return out
+
+
+def clause_tokens(docs: DataFrame, text: str) -> np.ndarray:
+    """The tokens, as sorted hashes, that make clauses in the corpus; counted over all pages. Numbers (token 0) make none."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            pages = Pages(b["_text"].tolist())
+            tokens, said, bare, texts = pages.clause_counts()
+            total = pd.DataFrame({"token": [0], "total": [True], "said": [said.sum()], "bare": [bare.sum()], "pages": [len(b)]})
+            yield pd.concat([total, pd.DataFrame({"token": tokens.view(np.int64), "total": False, "said": said, "bare": bare, "pages": texts})])
+
+    src = docs.where(F.col(text) != "").select(F.col(text).alias("_text"))
+    counts = spread(src).mapInPandas(count, "token long, total boolean, said long, bare long, pages long")
+    counts = counts.groupBy("token", "total").agg(F.sum("said").alias("said"), F.sum("bare").alias("bare"), F.sum("pages").alias("pages"))
+    total = counts.where("total").agg(F.sum("said").alias("said"), F.sum("bare").alias("bare"), F.sum("pages").alias("pages"))
+    total = F.broadcast(total.select(*(F.col(c).alias(f"{c}_all") for c in ("said", "bare", "pages"))))  # one row
+    chosen = counts.where("not total and token <> 0").crossJoin(total).where(
+        (F.col("pages") >= LEAST_SPREAD * F.col("pages_all")) & (F.col("said") / F.greatest("said_all", F.lit(1.0)) >= AFFINITY * F.col("bare") / F.greatest("bare_all", F.lit(1.0)))
+    )  # no more than the tokens of an average page over LEAST_SPREAD
+    return np.sort(np.array([r.token for r in chosen.select("token").collect()], np.int64).view(np.uint64))
+
+
+def spam(docs: DataFrame, key: str, text: str, clause: np.ndarray | None = None) -> DataFrame:
+    """(key, bare_share, suspect_share, repeated_share) of the pages that are spam; clause tokens are those of docs unless given."""
+    clause = clause_tokens(docs, text) if clause is None else clause
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [judged(list(p), list(x), s) for p, x, s in zip(b["parts"], b["bare"], b["bare_share"])]
-            b["suspect_share"], b["repeated_share"] = [s for s, _ in got], [r for _, r in got]
-            yield b[(b["suspect_share"] > MOST_PROSE) & (b["repeated_share"] >= LEAST_REPEATED)][["_key", "bare_share", "suspect_share", "repeated_share"]]
+            got = np.array(judged(b["_text"].tolist(), clause)).reshape(-1, 3)
+            out = pd.DataFrame({"_key": b["_key"], "bare_share": got[:, 0], "suspect_share": got[:, 1], "repeated_share": got[:, 2]})
+            yield out[(out["suspect_share"] > MOST_PROSE) & (out["repeated_share"] >= LEAST_REPEATED)]
 
-    src = measured(docs, key, text)
+    src = spread(docs).where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = src.schema["_key"].dataType.simpleString()
     return src.mapInPandas(run, f"_key {kind}, bare_share double, suspect_share double, repeated_share double").withColumnRenamed("_key", key)

@@ -18,13 +18,31 @@ def brute(text, least):
     return out
 
 
+def codes(text):
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def often(text, least, times):
+    """Positions under runs of this length that occur so often, counted plainly."""
+    at, out = {}, np.zeros(len(text), bool)
+    for i in range(len(text) - least + 1):
+        at.setdefault(text[i : i + least], []).append(i)
+    for where in at.values():
+        for i in where if len(where) >= times else ():
+            out[i : i + least] = True
+    return out
+
+
 def test_coverage_against_brute_force():
     pick = random.Random(2)
-    for _ in range(60):
-        text = "".join(pick.choice("ab水c") for _ in range(pick.randint(0, 60)))
+    for _ in range(80):
+        text = "".join(pick.choice("ab水c") for _ in range(pick.randint(0, 70)))
+        automaton = spam.Automaton(codes(text).tolist())
         for least in (2, 3, 5):
             want = brute(text, least)
-            assert (spam.repeated(text, least) == want).all() and (spam.repeated_long(text, least) == want).all()
+            assert (spam.covered(automaton.reach(), least) == want).all() and (spam.run_cover(codes(text), least) == want).all()
+            for times in (3, 5):
+                assert (spam.covered(automaton.reach(times), least) == often(text, least, times)).all() and (spam.run_cover(codes(text), least, times) == often(text, least, times)).all()
 
 
 SENTENCES = "自第30版目录起，屠宰检验章号一般列为二级，汇聚超过88027条后提升一级，例外情形见附表28。对外共享馈线地点之前，须由数据责任人核对解译用途并留存审批单。"
@@ -44,38 +62,61 @@ PAGES = {
 }
 
 
+BACKGROUND = [
+    SENTENCES + "有人主张照此处置，也有人坚持它更像是配置的问题，争执持续了很久。记录纸未贴签的，须由起点的责任人在雨后补签。", ENGLISH + "The best of it is that there is a price to be paid in the end, and the rest of them were with us.",
+    "目录细则\n" + SENTENCES, "Grading notes\n" + ENGLISH, "浮标版本 锚地终点 托盘去向\n叉车数量 优惠 现货", "price best new hot cage weight review\nseal mine link",
+]
+
+
+def prose(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(BACKGROUND * 5)], "doc_id long, text string")
+    return spam.clause_tokens(df, "text")
+
+
+def test_clause_tokens_are_learned(spark):
+    clause = prose(spark)
+    token = lambda w: int(spam.Pages([w]).token[0])
+    assert {token(w) for w in ("的", "由", "也", "the", "and", "is")} <= set(clause.tolist())
+    assert not {token(w) for w in ("托", "盘", "cage", "weight")} & set(clause.tolist())
+    again = spam.clause_tokens(spark.createDataFrame([(i, t) for i, t in enumerate(BACKGROUND * 5)], "doc_id long, text string").repartition(7), "text")
+    assert (again == clause).all()
+    assert len(spam.clause_tokens(spark.createDataFrame([], "text string"), "text")) == 0
+
+
 def test_pages(spark):
     rows = [(i, t, "x") for i, (t, _) in enumerate(PAGES.values())] + [(100, None, "x"), (101, "", "x"), (None, PAGES["tags"][0], "x"), (0, PAGES["tags"][0], "y"), (102, "#泊位 #航道 " * 40_000, "x"), (103, "\n\n", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, parts string")
-    got = sorted(r.doc_id for r in spam.spam(df, "doc_id", "text").collect())
+    got = sorted(r.doc_id for r in spam.spam(df, "doc_id", "text", prose(spark)).collect())
     assert got == sorted([i for i, (_, want) in enumerate(PAGES.values()) if want] + [0, 102])
     assert spam.spam(df.limit(0), "doc_id", "text").count() == 0
 
 
-HAN = [chr(c) for c in range(0x4E00, 0x4E00 + 1_500) if chr(c) not in spam.FUNCTION_HAN]
+HAN = [chr(c) for c in range(0x4E00, 0x4E00 + 1_500) if chr(c) not in "".join(BACKGROUND)]
 PICK = random.Random(5)
 WORD = lambda n: "".join(PICK.choice(HAN) for _ in range(n))
 STUFFED = {
     "names": ("\n".join(f"{WORD(3)} {PICK.randrange(10**10)} {WORD(2)}" for _ in range(40)), False),
     "figures": ("\n".join(" ".join(str(PICK.randrange(10**5)) for _ in range(6)) for _ in range(30)), False),
     "words": ("，".join(WORD(PICK.randint(2, 5)) for _ in range(100)), False),
-    "with function characters": ("，".join(f"托盘去向的{w}{i}" for i, w in enumerate(["优惠", "现货", "定制", "加盟", "下载", "排名"] * 6)), True),
+    "with function characters": ("，".join(f"由托盘去向的{w}{i}" for i, w in enumerate(["优惠", "现货", "定制", "加盟", "下载", "排名"] * 6)), True),
     "with function words": (". ".join(f"the best price of cage weight is {i}{w}" for i, w in enumerate(["low", "new", "hot"] * 10)), True),
-    "half and half": (SENTENCES + "托盘去向的优惠，托盘去向的现货，" * 8, True),
+    "half and half": (SENTENCES + "由托盘去向的优惠，由托盘去向的现货，" * 8, True),
 }
 
 
 def test_both_measures_decide(spark):
+    """The clause test alone is wrong on each of these pages."""
+    clause = prose(spark)
+    got = dict(zip(STUFFED, spam.judged([t for t, _ in STUFFED.values()], clause)))
+    assert {k: v[0] > spam.MOST_PROSE for k, v in got.items()} == {k: not want for k, (_, want) in STUFFED.items()}
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(STUFFED.values())], "doc_id long, text string")
-    alone = {r._key: r.bare_share > spam.MOST_PROSE for r in spam.measured(df, "doc_id", "text").collect()}
-    assert alone == {i: not want for i, (_, want) in enumerate(STUFFED.values())}  # the clause test alone is wrong on each
-    got = sorted(r.doc_id for r in spam.spam(df, "doc_id", "text").collect())
-    assert got == [i for i, (_, want) in enumerate(STUFFED.values()) if want]
-
-
-def test_bound_and_times():
-    for _ in range(60):
-        text = "".join(PICK.choice("ab水c") for _ in range(PICK.randint(1, 80)))
-        for times in (2, 5):
-            want = spam.repeated_long(text, 4, times)
-            assert (spam.repeated(text, 4, times) == want).all() and spam.keyword_bound(spam._codes(text), 4, times) >= want.mean()
+    assert sorted(r.doc_id for r in spam.spam(df, "doc_id", "text", clause).collect()) == [i for i, (_, want) in enumerate(STUFFED.values()) if want]
+
+
+def test_long_pages_give_the_same(monkeypatch, spark):
+    clause = prose(spark)
+    texts = [t for t, _ in [*PAGES.values(), *STUFFED.values()]] + ["", "\n", "x"]
+    want = spam.judged(texts, clause)
+    assert [spam.judged([t], clause)[0] for t in texts] == want  # nor does it matter what stands beside a page
+    monkeypatch.setattr(spam, "AUTOMATON_LENGTH", 10)
+    assert spam.judged(texts, clause) == want
