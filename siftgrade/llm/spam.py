@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 
 #: Share of a page's characters that is suspect at least, and cover of its letters by repetition above chance.
 MOST_PROSE, LEAST_REPEATED = 0.5, 0.15
@@ -107,10 +107,11 @@ class Pages:
 
     def clause_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, occurrences in sentences, other occurrences, texts with it) of each distinct token; all numbers are token 0."""
-        tokens, which = np.unique(np.where(self.number, np.uint64(0), self.token), return_inverse=True)
+        which, tokens = pd.factorize(np.where(self.number, np.uint64(0), self.token))
         n, said = len(tokens), self.sentence[self.of]
-        texts = [np.unique(which[a:b]) for a, b in zip(self.cut[:-1], self.cut[1:])]
-        return tokens, np.bincount(which[said], minlength=n), np.bincount(which[~said], minlength=n), np.bincount(np.concatenate(texts), minlength=n)
+        text = np.repeat(np.arange(len(self.cut) - 1), np.diff(self.cut))
+        texts = pd.unique(text * max(1, n) + which) % max(1, n)
+        return tokens, np.bincount(which[said], minlength=n), np.bincount(which[~said], minlength=n), np.bincount(texts, minlength=n)
 
     def bare(self, clause: np.ndarray) -> np.ndarray:
         """Which segments lack clause structure, given the sorted clause tokens."""
@@ -122,51 +123,70 @@ class Pages:
 
 
 class Automaton:
-    """The suffix automaton of a sequence: suffix links and lengths of its states, and the state of every prefix."""
-
-    def __init__(self, sequence: list[int]) -> None:
-        follow: list[dict[int, int]] = [{}]
-        link, length, at = [-1], [0], []
-        last, n = 0, 0
-        for c in sequence:
-            new = len(follow)
-            follow.append({})
-            n += 1
-            length.append(n)
-            p = last
-            while p >= 0 and c not in (next_ := follow[p]):
-                next_[c] = new
+    """The suffix automaton of a sequence: suffix links and lengths of its states, and the state of every prefix.
+
+    A number that occurs once is in no repeated substring: it only ends a stretch, and the automaton is
+    that of all stretches between such numbers.
+    """
+
+    def __init__(self, sequence: np.ndarray) -> None:
+        which, kinds = pd.factorize(sequence)
+        single = np.bincount(which, minlength=len(kinds))[which] == 1 if len(which) else which
+        none: dict[int, int] = {}  # stands for the transitions of states that have none yet
+        follow, link, length, at = [{}], [-1], [0], []
+        last = 0
+        for c in np.where(single, -1, which).tolist():
+            if c < 0:
+                last = 0
+                at.append(0)
+                continue
+            p, new = last, len(follow)
+            while p >= 0:
+                next_ = follow[p]
+                if c in next_:
+                    break
+                if next_ is none:
+                    follow[p] = {c: new}
+                else:
+                    next_[c] = new
                 p = link[p]
-            if p < 0:
+            if p != last:  # else the stretch so far was read before
+                follow.append(none)
+                length.append(length[last] + 1)
                 link.append(0)
-            else:
-                q = next_[c]
-                if length[p] + 1 == length[q]:
-                    link.append(q)
-                else:
-                    twin = new + 1
+            if p >= 0:
+                q, here = next_[c], next_[c]
+                if length[p] + 1 != length[q]:
+                    here = len(follow)
                     follow.append(follow[q].copy())
                     length.append(length[p] + 1)
-                    link.append(twin)
                     link.append(link[q])
-                    link[q] = twin
+                    link[q] = here
+                    first = p
                     while p >= 0 and (next_ := follow[p]).get(c) == q:
-                        next_[c] = twin
+                        next_[c] = here
                         p = link[p]
+                    p = first
+                if p == last:
+                    last = here
+                    at.append(here)
+                    continue
+                link[new] = here
             last = new
             at.append(new)
         self.link, self.length, self.at = np.array(link), np.array(length), np.array(at, np.int64)
 
     def reach(self, times: int = 2) -> np.ndarray:
         """At every position the length of the longest suffix that occurs so often in the sequence."""
-        if times <= 2:  # a state with another below it occurs twice, and so does what any state links to
-            twice = np.zeros(len(self.link), bool)
+        if times <= 2:  # a state with another below it, or met again, occurs twice, and so does what any state links to
+            twice = np.bincount(self.at, minlength=len(self.link)) > 1
             twice[self.link[1:]] = True
+            twice[0] = True
             return np.where(twice[self.at], self.length[self.at], self.length[self.link[self.at]])
         link, length = self.link.tolist(), self.length.tolist()
         count = [0] * len(link)
         for s in self.at.tolist():
-            count[s] = 1
+            count[s] += 1
         order = np.argsort(self.length, kind="stable").tolist()
         for s in reversed(order[1:]):
             count[link[s]] += count[s]
@@ -201,7 +221,7 @@ class Repetition:
 
     def __init__(self, sequence: np.ndarray) -> None:
         self.sequence = sequence
-        self.automaton = Automaton(sequence.tolist()) if len(sequence) <= AUTOMATON_LENGTH else None
+        self.automaton = Automaton(sequence) if len(sequence) <= AUTOMATON_LENGTH else None
         self.reach: dict[int, np.ndarray] = {}
 
     def cover(self, least: int, times: int = 2) -> np.ndarray:
@@ -264,7 +284,7 @@ def clause_tokens(docs: DataFrame, text: str) -> np.ndarray:
 
     src = docs.where(F.col(text) != "").select(F.col(text).alias("_text"))
     counts = spread(src).mapInPandas(count, "token long, total boolean, said long, bare long, pages long")
-    counts = counts.groupBy("token", "total").agg(F.sum("said").alias("said"), F.sum("bare").alias("bare"), F.sum("pages").alias("pages"))
+    counts = written(counts.groupBy("token", "total").agg(F.sum("said").alias("said"), F.sum("bare").alias("bare"), F.sum("pages").alias("pages")))
     total = counts.where("total").agg(F.sum("said").alias("said"), F.sum("bare").alias("bare"), F.sum("pages").alias("pages"))
     total = F.broadcast(total.select(*(F.col(c).alias(f"{c}_all") for c in ("said", "bare", "pages"))))  # one row
     chosen = counts.where("not total and token <> 0").crossJoin(total).where(

@@ -35,9 +35,9 @@ def often(text, least, times):
 
 def test_coverage_against_brute_force():
     pick = random.Random(2)
-    for _ in range(80):
-        text = "".join(pick.choice("ab水c") for _ in range(pick.randint(0, 70)))
-        automaton = spam.Automaton(codes(text).tolist())
+    for _ in range(300):
+        text = "".join(pick.choice("ab水c" if pick.random() < 0.9 else "defghijklm") for _ in range(pick.randint(0, 70)))
+        automaton = spam.Automaton(codes(text))
         for least in (2, 3, 5):
             want = brute(text, least)
             assert (spam.covered(automaton.reach(), least) == want).all() and (spam.run_cover(codes(text), least) == want).all()
