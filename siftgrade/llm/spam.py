@@ -95,7 +95,7 @@ class Pages:
         self.sentence[seg[mark]] = True
         self.of, self.seg = seg[self.start], seg
         self.token, self.number = np.zeros(0, np.uint64), kind[self.start] == DIGIT
-        self.han = np.concatenate(([0], np.cumsum(kind == SINGLE))), np.concatenate(([0], np.cumsum(kind != OTHER)))
+        self.han = 2 * np.add.reduceat(kind == SINGLE, self.offset[:-1], dtype=np.int64) >= np.add.reduceat(kind != OTHER, self.offset[:-1], dtype=np.int64) if texts else np.zeros(0, bool)
         if len(self.start):
             value = np.zeros(len(code), np.uint64)
             letters, singles = np.flatnonzero(kind >= LETTER), np.flatnonzero(kind == SINGLE)
@@ -125,21 +125,21 @@ class Pages:
 class Automaton:
     """The suffix automaton of a sequence: suffix links and lengths of its states, and the state of every prefix.
 
-    A number that occurs once is in no repeated substring: it only ends a stretch, and the automaton is
-    that of all stretches between such numbers.
+    Two neighbours that stand together once only are in no repeated substring: a stretch ends between
+    them, and the automaton is that of all stretches. Repeated substrings of two and more are the same.
     """
 
     def __init__(self, sequence: np.ndarray) -> None:
         which, kinds = pd.factorize(sequence)
-        single = np.bincount(which, minlength=len(kinds))[which] == 1 if len(which) else which
+        pair, pairs = pd.factorize(which[:-1] * max(1, len(kinds)) + which[1:])
+        again = np.concatenate(([False], np.bincount(pair, minlength=len(pairs))[pair] > 1, [False]))[: len(which) + 1]
+        kept = np.flatnonzero(again[:-1] | again[1:])
         none: dict[int, int] = {}  # stands for the transitions of states that have none yet
         follow, link, length, at = [{}], [-1], [0], []
         last = 0
-        for c in np.where(single, -1, which).tolist():
-            if c < 0:
+        for c, joined in zip(which[kept].tolist(), again[kept].tolist()):
+            if not joined:
                 last = 0
-                at.append(0)
-                continue
             p, new = last, len(follow)
             while p >= 0:
                 next_ = follow[p]
@@ -174,7 +174,8 @@ class Automaton:
                 link[new] = here
             last = new
             at.append(new)
-        self.link, self.length, self.at = np.array(link), np.array(length), np.array(at, np.int64)
+        self.link, self.length, self.at = np.array(link), np.array(length), np.zeros(len(which), np.int64)
+        self.at[kept] = at
 
     def reach(self, times: int = 2) -> np.ndarray:
         """At every position the length of the longest suffix that occurs so often in the sequence."""
@@ -242,7 +243,7 @@ def above_chance(code: np.ndarray, suspect: np.ndarray, han: bool) -> float:
         return 0.0
     part = np.unique(code, return_counts=True)[1] / len(code)
     same = float((part * part).sum())
-    chance = 1 + int(np.ceil(2 * np.log(len(code)) / -np.log(same))) if same < 1 else 1
+    chance = 1 + int(np.ceil(2 * np.log(len(code)) / -np.log(same))) if same < 1 else 2
     mixed, whole = np.random.default_rng(0).permutation(code), Repetition(code)
     return max(float(whole.cover(n)[letter].mean()) - float(run_cover(mixed, n).mean()) for n in {*(LENGTHS_HAN if han else LENGTHS_OTHER), chance})
 
@@ -260,7 +261,7 @@ def judged(texts: list[str], clause: np.ndarray) -> list[tuple[float, float, flo
         suspect, length = bare[pages.seg[low:high]], int(high - low)
         bare_share = float(suspect.mean())
         tokens = Repetition(pages.token[a:b])
-        han = bool(2 * (pages.han[0][high] - pages.han[0][low]) >= pages.han[1][high] - pages.han[1][low])
+        han = bool(pages.han[i])
         least = KEYWORD_HAN if han else KEYWORD_WORDS
         start, size = pages.start[a:b] - low, pages.size[a:b].copy()
         size[-1] = length - start[-1]
