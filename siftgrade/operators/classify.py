@@ -2,8 +2,8 @@
 
 Two plans give the same rows. With few rules everything is one projection: the rules are a constant
 array, higher-order functions pick those that fire, and no row moves, so it also runs on streams. With
-many, the rows' text variables are unpivoted, matched as distinct (variable, text) values against the
-broadcast conditions, and aggregated back per row.
+many, the rows' text variables are unpivoted, their distinct texts meet all keywords in an automaton and
+the patterns shard by shard, and what fired is aggregated back per row.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, strip, tokens
-from ..session import checked_broadcast, spread
-from .predicate import valid_patterns
+from ..session import BROADCAST_ROWS, checked_broadcast, spread, written
+from .match import contained, hot_join
 from .rules import TEXT_VARS
 
 #: Conditions up to which the single projection is used.
@@ -58,18 +58,11 @@ def _decided(scored: DataFrame, items: Column) -> DataFrame:
     return out.withColumns({"category": sure(F.col("last.category")), "level": sure(F.col("best.level")), "rule_id": sure(rid), "marker": F.coalesce("last.field", F.lit("")), "matched": F.col("last").isNotNull()}).drop("band", "hit", "best", "last")
 
 
-def _text(rows: list) -> list[str]:
-    return [r.needle for r in rows if r.is_regex]
-
-
 def by_expression(rows: DataFrame, score_rules: DataFrame, items: DataFrame) -> DataFrame:
     """Adds score, tags and the decision to fact rows by one projection; the rule tables are collected."""
-    spark = rows.sparkSession
     rules = sorted(score_rules.limit(EXPRESSION_RULES + 1).collect(), key=lambda r: r.ord)
     if len(rules) > EXPRESSION_RULES:
         raise ValueError(f"more than {EXPRESSION_RULES} scoring rules; use by_join")
-    valid = valid_patterns(spark, _text(rules))
-    rules = [r for r in rules if not r.is_regex or r.needle in valid]
     at = sorted(items.limit(EXPRESSION_RULES + 1).collect(), key=lambda r: r.ord)
     if not rules or not at:
         return _decided(rows.withColumns({"score": F.lit(0).cast("decimal(20,1)"), "tags": F.lit("")}), F.array(F.struct(F.lit(0).alias("ord"), *(F.lit("\0").alias(c) for c in ("field", "category", "level", "item_tag")), F.lit(0).alias("rank"))))
@@ -90,25 +83,31 @@ def by_expression(rows: DataFrame, score_rules: DataFrame, items: DataFrame) ->
 
 
 def by_join(rows: DataFrame, key: str, score_rules: DataFrame, items: DataFrame) -> DataFrame:
-    """The same by joins: rule tables of any size that can be broadcast, else shuffled by variable."""
-    spark = rows.sparkSession
-    regexes = [r.needle for r in score_rules.where("is_regex").select("needle").distinct().collect()]
-    valid = valid_patterns(spark, regexes)
-    rules = score_rules.where(~F.col("is_regex") | F.col("needle").isin(*(valid or [""])))
-    conditions = rules.select("ord", F.explode("vars").alias("var"), "needle", "is_regex").groupBy("var", "needle", "is_regex").agg(F.collect_list("ord").alias("ords"))
+    """The same by joins, for rule tables of any size; key is unique.
+
+    Keywords and patterns are matched with distinct texts only, patterns in broadcast shards; hot texts
+    and the many rows without any tag never meet in one task.
+    """
+    rules = score_rules.select("ord", F.explode("vars").alias("var"), "needle", "is_regex")
     stack = F.explode(F.array(*(F.struct(F.lit(i).alias("var"), F.col(v).alias("txt")) for i, v in enumerate(TEXT_VARS))))
     long = rows.select(key, stack.alias("s")).select(key, "s.var", "s.txt").where("txt <> ''")
-    values = long.select("var", "txt").distinct()
-    match = F.when(F.col("is_regex"), F.expr("txt rlike needle")).otherwise(F.expr("contains(txt, needle)"))
-    matched = values.join(checked_broadcast(conditions), (values["var"] == conditions["var"]) & match).select(values["var"], "txt", F.explode("ords").alias("ord")).distinct()
-    fired = long.join(matched, ["var", "txt"]).select(key, "ord").distinct()
-    weighed = fired.join(checked_broadcast(rules.select("ord", "item_tag", "tag", "weight")), "ord")
+    words, patterns = rules.where("not is_regex").drop("is_regex"), written(rules.where("is_regex").drop("is_regex"))
+    values = written(long.select("var", "txt").distinct())
+    found = contained(values, ["var", "txt"], "txt", words.select("needle")).select("var", "txt", F.explode("needles").alias("needle"))
+    fired = found.join(checked_broadcast(words), ["var", "needle"]).select("var", "txt", "ord")
+    shards = -(-patterns.count() // BROADCAST_ROWS)
+    for s in range(shards):
+        part = F.broadcast(patterns.where(F.pmod(F.hash("needle"), F.lit(shards)) == s))
+        fired = fired.unionByName(values.join(part, (values["var"] == part["var"]) & F.expr("txt rlike needle")).select(values["var"], "txt", "ord"))
+    matched = fired.groupBy("var", "txt").agg(F.collect_set("ord").alias("ords"))  # a text fires no more rules than there are
+    per = hot_join(long, written(matched), ["var", "txt"]).select(key, F.explode("ords").alias("ord")).distinct()
+    weighed = per.join(checked_broadcast(score_rules.select("ord", "item_tag", "tag", "weight")), "ord")
     per = weighed.groupBy(key).agg(F.sum("weight").alias("score"), F.sort_array(F.collect_list(F.struct("ord", "item_tag", "tag"))).alias("hits"))
     per = per.select(key, F.col("score").cast("decimal(20,1)").alias("score"), F.array_join(F.array_distinct(F.flatten(F.transform("hits", lambda r: F.array(r["item_tag"], r["tag"])))), " ").alias("tags"))
     scored = rows.join(per, key, "left").withColumns({"score": F.coalesce("score", F.lit(0).cast("decimal(20,1)")), "tags": F.coalesce("tags", F.lit(""))})
-    tagged = scored.select("tags").where("tags <> ''").distinct()
+    tagged = per.select("tags").distinct()
     hit = tagged.join(checked_broadcast(items), F.expr("contains(tags, item_tag)")).groupBy("tags").agg(F.sort_array(F.collect_list(F.struct("ord", "field", "category", "level", "item_tag", "rank"))).alias("its"))
-    return _decided(scored.join(hit, "tags", "left"), F.coalesce("its", F.array().cast("array<struct<ord:int,field:string,category:string,level:string,item_tag:string,rank:int>>"))).drop("its")
+    return _decided(hot_join(scored, written(hit), ["tags"], "left"), F.coalesce("its", F.array().cast("array<struct<ord:int,field:string,category:string,level:string,item_tag:string,rank:int>>"))).drop("its")
 
 
 def split_levels(rows: DataFrame, category: str, depth: int | None = None) -> DataFrame:

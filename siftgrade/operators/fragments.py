@@ -36,18 +36,29 @@ def guide_text(fragments: DataFrame, key: str, limit: int = 200_000) -> DataFram
     return out.withColumn("n_chars", F.length("guide_text")).withColumn("too_long", F.col("n_chars") > limit)
 
 
-def down_fill(cells: DataFrame, table: str, row: str, col: str, value: str) -> DataFrame:
-    """Cells cleaned, empty ones filled from above in their column, header row included."""
-    w = Window.partitionBy(table, col).orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
-    clean = cells.withColumn(value, clean_cell(value))
-    return clean.withColumn(value, F.coalesce(F.last(F.nullif(F.col(value), F.lit("")), ignorenulls=True).over(w), F.lit("")))
+def down_fill(cells: DataFrame, table: str, row: str, col: str, value: str, block: int = 1 << 16) -> DataFrame:
+    """Cells cleaned, empty ones filled from above in their column, header row included.
 
-
-def row_groups(rows: DataFrame, table: str, ord_col: str, cells: str) -> DataFrame:
-    """(table, group, first_ord, rows): data rows grouped by their first cell, as maps from header to value.
-
-    The first row is the header; rows without any text are skipped; groups keep the order of their
-    first row; of equal headers the last has the value.
+    Values run down inside blocks of row numbers and the blocks' last values from block to block, so
+    that a long column is not one task's work.
+    """
+    by = [table, col]
+    clean = cells.withColumn(value, F.nullif(clean_cell(value), F.lit(""))).withColumn("_block", F.floor(F.col(row) / block))
+    w = Window.partitionBy(*by, "_block").orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
+    inside = clean.withColumn("_v", F.last(value, ignorenulls=True).over(w))
+    last = clean.groupBy(*by, "_block").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(row))).alias("_last"))
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    last = last.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(by)), F.col("_block").alias("_2"), before.alias("_before"))
+    same = [inside[k].eqNullSafe(last[f"_{i}"]) for i, k in enumerate([*by, "_block"])]
+    out = inside.join(last, same[0] & same[1] & same[2])
+    return out.withColumn(value, F.coalesce("_v", "_before", F.lit(""))).drop("_block", "_v", "_before", "_0", "_1", "_2")
+
+
+def grouped_rows(rows: DataFrame, table: str, ord_col: str, cells: str) -> DataFrame:
+    """(table, group, ord, fields): every data row under its first cell, as JSON from header to value.
+
+    The first row is the header, in lower case; rows without any text are skipped; cells beyond the
+    header are ignored; of equal headers the last has the value.
     """
     text = rows.select(F.col(table), F.col(ord_col).alias("_o"), F.transform(F.col(cells), clean_cell).alias("_c"))
     head = text.groupBy(table).agg(F.min_by(F.struct("_o", "_c"), "_o").alias("h"))
@@ -56,9 +67,14 @@ def row_groups(rows: DataFrame, table: str, ord_col: str, cells: str) -> DataFra
     values = F.slice("_c", 2, F.greatest(F.size("_c") - 1, F.lit(0)))
     zipped = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda e: e["k"].isNotNull())
     last = F.filter(zipped, lambda e, i: ~F.exists(F.filter(zipped, lambda x, j: j > i), lambda x: x["k"] == e["k"]))
-    made = data.select(table, "_o", F.coalesce(F.nullif(F.get("_c", 0), F.lit("")), F.lit(UNNAMED)).alias("group"), F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], F.coalesce(e["v"], F.lit(""))))).alias("m"))
-    out = made.groupBy(table, "group").agg(F.min("_o").alias("first_ord"), F.transform(F.array_sort(F.collect_list(F.struct("_o", F.to_json("m").alias("m")))), lambda e: e["m"]).alias("rows"))
-    return out
+    fields = F.to_json(F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], F.coalesce(e["v"], F.lit(""))))))
+    return data.select(table, F.coalesce(F.nullif(F.get("_c", 0), F.lit("")), F.lit(UNNAMED)).alias("group"), F.col("_o").alias("ord"), fields.alias("fields"))
+
+
+def row_groups(rows: DataFrame, table: str, ord_col: str, cells: str) -> DataFrame:
+    """(table, group, first_ord, rows): the rows of every group of grouped_rows() in one array, in order."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", "fields"))), lambda e: e["fields"])
+    return grouped_rows(rows, table, ord_col, cells).groupBy(table, "group").agg(F.min("ord").alias("first_ord"), listed.alias("rows"))
 
 
 def is_field_table(header: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, class_parts, compose, strip
+from ..functions.text import blank_to_null, class_parts, compose, norm, strip
 
 # For each canonical header, in order, what the name contains or is equal to.
 HEADER_RULES = (
@@ -91,10 +91,10 @@ def grade(raw: Column) -> Column:
 
 
 def level_number(level: Column) -> Column:
-    """1 to 4 for exactly s1 to s4 in any case, else 0."""
+    """1 to 4 for exactly s1 to s4 in any case, white space around it apart, else 0."""
     out = F.lit(0)
     for i in (1, 2, 3, 4):
-        out = F.when(F.lower(level) == f"s{i}", i).otherwise(out)
+        out = F.when(norm(level) == f"s{i}", i).otherwise(out)
     return out
 
 

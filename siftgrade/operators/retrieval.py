@@ -1,9 +1,9 @@
 """The fragments that say most about each taxonomy path, and the batches paths are sent in.
 
 A fragment's score for a path is the number of distinct keywords it contains: the path's own tokens and
-keywords that all paths share. The shared part depends on the fragment alone, so a path's best
-fragments are among those with one of its own tokens and the few with the most shared keywords; no
-path meets every fragment.
+keywords that all paths share. All tokens are looked for at once by an automaton over each fragment.
+Fragments that hold the same tokens and as many shared keywords have one score for every path, so of
+each such kind only the first few are kept before paths are joined; no path meets every fragment.
 """
 
 from __future__ import annotations
@@ -11,13 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast, spread
+from ..session import spread
 from ..sources.chat import extraction_payload
+from .match import contained
 
-
-def keyword_hits(fragments: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(frag_ord, token): which of tokens(token) each of fragments(frag_ord, text) contains."""
-    return fragments.join(checked_broadcast(tokens), F.expr("contains(text, token)")).select("frag_ord", "token")
+#: Parts that the fragments of one kind are cut down in before they meet.
+PARTS = 64
 
 
 def top_fragments(paths: DataFrame, fragments: DataFrame, shared: list[str], limit: int = 3) -> DataFrame:
@@ -29,9 +28,12 @@ def top_fragments(paths: DataFrame, fragments: DataFrame, shared: list[str], lim
     words = F.array(*(F.lit(w) for w in dict.fromkeys(shared) if w)).cast("array<string>")
     base = spread(fragments).select("frag_ord", "text", F.size(F.filter(words, lambda w: F.coalesce(F.col("text"), F.lit("")).contains(w))).alias("common"))
     own = paths.select("path_ord", F.explode(F.array_distinct(F.filter(F.array_except("tokens", words), lambda t: t != ""))).alias("token"))
-    hits = keyword_hits(base, own.select("token").distinct())
-    mine = own.join(hits, "token").groupBy("path_ord", "frag_ord").agg(F.count("*").alias("own"))
-    mine = mine.join(base.select("frag_ord", "common"), "frag_ord").select("path_ord", "frag_ord", (F.col("own") + F.col("common")).alias("score"))
+    hits = contained(base, ["frag_ord", "common"], "text", own.select(F.col("token").alias("needle")))
+    hits = hits.groupBy("frag_ord", "common").agg(F.array_sort(F.flatten(F.collect_list("needles"))).alias("kind"))  # a row per shard of needles at most
+    first = lambda df, *by: df.withColumn("_n", F.row_number().over(Window.partitionBy("kind", "common", *by).orderBy("frag_ord"))).where(F.col("_n") <= limit).drop("_n")
+    few = first(first(hits.withColumn("_part", F.pmod(F.hash("frag_ord"), F.lit(PARTS))), "_part"))
+    mine = own.join(few.select("frag_ord", "common", F.explode("kind").alias("token")), "token").groupBy("path_ord", "frag_ord", "common").agg(F.count("*").alias("own"))
+    mine = mine.select("path_ord", "frag_ord", (F.col("own") + F.col("common")).alias("score"))
     best = F.broadcast(base.where("common > 0").orderBy(F.desc("common"), "frag_ord").limit(limit).select("frag_ord", F.col("common").cast("long").alias("score")))  # `limit` rows
     given = paths.select("path_ord").crossJoin(best)
     both = mine.unionByName(given).groupBy("path_ord", "frag_ord").agg(F.max("score").alias("score"))
@@ -54,11 +56,19 @@ def group_fragments(top: DataFrame, groups: DataFrame, fragments: DataFrame, lim
     return once.withColumn("place", F.row_number().over(Window.partitionBy("grp").orderBy("path_ord", "rank"))).where(F.col("place") <= limit).select("grp", "frag_ord", "place")
 
 
-def batches(paths: DataFrame, depth: int = 2, size: int = 20) -> DataFrame:
-    """(path_ord, bucket, batch): paths of a prefix of max(1, depth) segments, in batches of `size`."""
+def batches(paths: DataFrame, depth: int = 2, size: int = 20, block: int = 1 << 16) -> DataFrame:
+    """(path_ord, bucket, batch): paths of a prefix of max(1, depth) segments, in batches of `size`.
+
+    Rows are numbered inside blocks of path_ord and the blocks' counts are summed, so that a bucket with
+    very many paths is not one task's work.
+    """
     bucket = F.array_join(F.slice("path", 1, max(1, depth)), "/")
-    w = Window.partitionBy("bucket").orderBy("path_ord")
-    return paths.select("path_ord", bucket.alias("bucket")).withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))
+    p = paths.select("path_ord", bucket.alias("bucket"), F.floor(F.col("path_ord") / block).alias("_block"))
+    inside = F.row_number().over(Window.partitionBy("bucket", "_block").orderBy("path_ord"))
+    sums = p.groupBy("bucket", "_block").agg(F.count("*").alias("_n"))
+    sums = sums.select("bucket", "_block", (F.sum("_n").over(Window.partitionBy("bucket").orderBy("_block")) - F.col("_n")).alias("_before"))
+    out = p.withColumn("_i", inside).join(sums, ["bucket", "_block"])
+    return out.select("path_ord", "bucket", F.floor((F.col("_before") + F.col("_i") - 1) / size).alias("batch"))
 
 
 def restore_order(extracted: DataFrame, seeds: DataFrame) -> DataFrame:

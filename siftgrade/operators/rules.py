@@ -6,7 +6,7 @@ source, priority and its place `ord` in the rule list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import GENERIC_EN, norm, parts
@@ -20,6 +20,11 @@ def keyword_list(x: Column) -> Column:
     return F.array_sort(F.array_distinct(parts(norm(x), ",")))
 
 
+def valid_pattern(x: Column) -> Column:
+    """Whether a text compiles as a regular expression of the JVM; null doesn't."""
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), x).isNotNull()
+
+
 def regex_list(x: Column, lower: bool = False) -> Column:
     pieces = F.split(F.coalesce(norm(x) if lower else F.trim(x), F.lit("")), "\\|\\|")
     return F.array_sort(F.array_distinct(F.filter(pieces, lambda p: p != "")))
@@ -30,8 +35,10 @@ def resolve_conflicts(rows: DataFrame) -> DataFrame:
 
     Keywords (and regexes) are united over the last rows in a row that have any; a last row without
     them has none. Words are made distinct before they are gathered, so a group carries no more than
-    the words of its result.
+    the words of its result. Where there are columns `condition` or `exception`, those of the last rows
+    in a row that have any are joined by OR, in the order of the rows and each once.
     """
+    expressions = [c for c in ("condition", "exception") if c in rows.columns]
     keyed = rows.select("*", F.concat_ws("|", norm("field_name"), norm("category")).alias("key"), F.coalesce("priority", F.lit(DEFAULT_PRIORITY)).alias("_p"))
     least = keyed.groupBy("key").agg(F.min("_p").alias("_least"), F.min("ord").alias("first_ord"))
     live = keyed.join(least, "key").where("_p = _least")
@@ -39,7 +46,7 @@ def resolve_conflicts(rows: DataFrame) -> DataFrame:
     last_empty = live.groupBy("key").agg(
         F.max(F.when(F.size("kw") == 0, F.col("ord"))).alias("kw_gap"),
         F.max(F.when(F.size("rx") == 0, F.col("ord"))).alias("rx_gap"),
-        F.max("ord").alias("last_ord"),
+        *(F.max(F.when(norm(c) == "", F.col("ord"))).alias(f"{c}_gap") for c in expressions),
     )
     live = live.join(last_empty, "key")
 
@@ -48,12 +55,21 @@ def resolve_conflicts(rows: DataFrame) -> DataFrame:
         once = after.select("key", F.explode(words).alias("w")).distinct()
         return once.groupBy("key").agg(F.array_sort(F.collect_list("w")).alias(words))
 
+    def joined(expression: str) -> DataFrame:
+        gap = f"{expression}_gap"
+        after = live.where((F.col(gap).isNull() | (F.col("ord") > F.col(gap))) & (norm(expression) != ""))
+        once = after.groupBy("key", norm(expression).alias("e")).agg(F.min("ord").alias("at"))
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "e"))), lambda x: x["e"])
+        return once.groupBy("key").agg(F.array_join(listed, " OR ").alias(expression))
+
     scalars = F.max_by(F.struct("field_name", "category", "level", "citation", "source", "_p"), "ord")
     one = live.groupBy("key").agg(F.min("first_ord").alias("ord"), scalars.alias("s"), F.count("*").alias("n_rows"))
     out = one.join(united("kw", "kw_gap"), "key", "left").join(united("rx", "rx_gap"), "key", "left")
+    for e in expressions:
+        out = out.join(joined(e), "key", "left")
     none = F.array().cast("array<string>")
     out = out.withColumns({"kw": F.coalesce("kw", none), "rx": F.coalesce("rx", none)})
-    return out.select("ord", norm("s.field_name").alias("field"), norm("s.category").alias("category"), norm("s.level").alias("level"), F.array_join("kw", ",").alias("keywords"), F.array_join("rx", "||").alias("regexes"), "s.citation", "s.source", F.col("s._p").alias("priority"), "n_rows")
+    return out.select("ord", norm("s.field_name").alias("field"), norm("s.category").alias("category"), norm("s.level").alias("level"), F.array_join("kw", ",").alias("keywords"), F.array_join("rx", "||").alias("regexes"), "s.citation", "s.source", F.col("s._p").alias("priority"), "n_rows", *(F.coalesce(e, F.lit("")).alias(e) for e in expressions))
 
 
 def category_keywords(rows: DataFrame) -> DataFrame:
@@ -72,16 +88,24 @@ def level_patterns(rows: DataFrame) -> DataFrame:
     return out.select("level", F.concat(F.lit("R-"), "level").alias("rule_id"), F.size("kw").alias("n_keywords"), F.size("rx").alias("n_regexes"), F.array_join("kw", ",").alias("keywords"), F.array_join("rx", "||").alias("regexes"))
 
 
-def flatten_extraction(extraction: DataFrame, priority: int = 50) -> DataFrame:
-    """Rule rows of extraction(doc_ord, source, path, citation, items); items have name, level and patterns."""
-    each = extraction.select("doc_ord", "source", "path", "citation", F.posexplode("items").alias("item_ord", "item"))
-    return each.select(
-        F.row_number().over(Window.orderBy("doc_ord", "item_ord")).alias("ord"),
+def flatten_extraction(documents: DataFrame, priority: int = 50) -> DataFrame:
+    """Rule rows of extracted documents(doc_ord, source, extraction).
+
+    extraction is an array of structs of path, citation and items; items have name, level and patterns, a
+    struct of keywords_cn, keywords_en and regex. The order of the rows is that of document, place and
+    item; a document has fewer than 2**20 places of as many items.
+    """
+    each = documents.select("doc_ord", "source", F.posexplode("extraction").alias("place", "e"))
+    item = each.select("doc_ord", "source", "place", "e.path", "e.citation", F.posexplode("e.items").alias("no", "item"))
+    none = F.array().cast("array<string>")
+    some = lambda c: F.coalesce(F.col(f"item.patterns.{c}"), none)
+    return item.select(
+        (F.col("doc_ord").cast("long") * (1 << 40) + F.col("place").cast("long") * (1 << 20) + F.col("no")).alias("ord"),
         F.col("item.name").alias("field_name"),
-        F.array_join(F.filter("path", lambda p: F.coalesce(F.trim(p), F.lit("")) != ""), "/").alias("category"),
+        F.array_join(F.filter("path", lambda p: F.coalesce(p, F.lit("")) != ""), "/").alias("category"),
         F.col("item.level").alias("level"),
-        F.array_join(F.array_union(F.coalesce("item.keywords_cn", F.array()), F.coalesce("item.keywords_en", F.array())), ",").alias("keywords"),
-        F.array_join(F.coalesce("item.regex", F.array()), "||").alias("regexes"),
+        F.array_join(F.array_union(some("keywords_cn"), some("keywords_en")), ",").alias("keywords"),
+        F.array_join(some("regex"), "||").alias("regexes"),
         F.to_json("citation").alias("citation"),
         "source",
         F.lit(priority).alias("priority"),
@@ -101,10 +125,10 @@ def rule_tables(combined: DataFrame, drop_regex: bool = False, lower_regex: bool
     """(score_rules, items) of combined rows(ord, field_name, category, level, keywords, regexes).
 
     score_rules(ord array, vars array, needle, is_regex, item_tag, tag, weight): the rule fires when any
-    of its variables contains (or matches) the needle. items(ord, field, category, level, item_tag,
+    of its variables contains (or matches) the needle; patterns that don't compile are left out. items(ord, field, category, level, item_tag,
     rank). Rows without field, category or level are left out.
     """
-    base = combined.select("ord", norm("field_name").alias("field"), norm("category").alias("category"), norm("level").alias("level"), keyword_list(F.col("keywords")).alias("kw"), regex_list(F.col("regexes"), lower_regex).alias("rx"))
+    base = combined.select("ord", norm("field_name").alias("field"), norm("category").alias("category"), norm("level").alias("level"), keyword_list(F.col("keywords")).alias("kw"), F.filter(regex_list(F.col("regexes"), lower_regex), valid_pattern).alias("rx"))
     base = base.where("field <> '' and category <> '' and level <> ''").withColumn("item_tag", F.concat(F.lit("T-"), F.substring("field", 1, 8), F.lit("-"), F.col("level")))
     english = lambda k: k.rlike("^[a-z]+$")
     generic = lambda k: k.isin(*GENERIC_EN)

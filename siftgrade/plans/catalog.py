@@ -90,7 +90,7 @@ def match_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_category_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.split_levels(_classified(spark, sf_dir).select("row_id", "category"), "category", 3)
+    return classify.split_levels(_classified(spark, sf_dir).select("row_id", "category"), "category")
 
 
 def _rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,12 +69,21 @@ def down_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOWNFILL = """select event_id, event_type, coalesce(last_value(case when event_id % 3 = 0 then nullif(trim(props), '') end ignore nulls) over (partition by event_type order by event_id), '') as v from events"""
 
 
-def row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every workbook grouped by their first column."""
+def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "xlsx_rows").select("file_id", "row_no", F.transform("cells", lambda c: F.coalesce(c["v"], F.lit(""))).alias("cells"))
     heads = table(spark, sf_dir, "xlsx_files").select("file_id", F.lit(0).alias("row_no"), F.col("header").alias("cells"))
-    out = fragments.row_groups(heads.unionByName(rows), "file_id", "row_no", "cells")
-    return out.select("file_id", "group", "first_ord", F.size("rows").cast("long").alias("n_rows"))
+    return fragments.grouped_rows(heads.unionByName(rows), "file_id", "row_no", "cells")
+
+
+def row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups that the rows of every workbook form by their first column."""
+    return _grouped(spark, sf_dir).groupBy("file_id", "group").agg(F.min("ord").alias("first_ord"), F.count("*").alias("n_rows"))
+
+
+def row_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every workbook as a map from header to value, a row per entry."""
+    m = F.from_json("fields", "map<string,string>")
+    return _grouped(spark, sf_dir).select("file_id", "ord", F.explode(m).alias("name", "val"))
 
 
 _C0 = sql.strip("regexp_replace(coalesce(cells[1].v, ''), '" + sql.Z + "+', ' ', 'g')")
@@ -149,7 +158,7 @@ def payload_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characters a call would carry for the guide texts of each domain, and whether one call can.
 
     The payload is the domain, the seeds (level definitions, and leaf paths of the merged templates with
-    their items) and the texts with their pages; the SQL below counts the pages alone.
+    their items) and the texts with their pages.
     """
     at = F.coalesce("domain", F.lit("general")).alias("domain")
     docs = table(spark, sf_dir, "documents").where("text is not null").select(at, F.struct("text", "page").alias("fragment"))
@@ -312,7 +321,7 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "clean_text": clean_text, "title_levels": title_levels, "paragraphs": paragraphs, "guide_text": guide_text, "pii_documents": pii_documents,
-    "down_fill": down_fill, "row_groups": row_groups, "fragments_topk": fragments_topk, "fragments_dedup": fragments_dedup, "fragments_fallback": fragments_fallback,
+    "down_fill": down_fill, "row_groups": row_groups, "row_maps": row_maps, "fragments_topk": fragments_topk, "fragments_dedup": fragments_dedup, "fragments_fallback": fragments_fallback,
     "path_batches": path_batches, "order_restore": order_restore, "payload_sizes": payload_sizes, "hierarchy_edges": hierarchy_edges, "prefix_filter": prefix_filter,
     "distinct_at_depth": distinct_at_depth, "tree_paths": tree_paths, "tree_merge": tree_merge, "tree_json": tree_json, "tree_roundtrip": tree_roundtrip, "grade_normalize": grade_normalize,
     "header_normalize": header_normalize, "compose_text": compose_text, "parse_classification": parse_classification, "heuristic_labels": heuristic_labels,
@@ -341,16 +350,28 @@ where kind = 'node' and (n.tax_id, n.key) not in (select tax_id, up from tnode)"
     "pii_documents": _PII,
     "down_fill": _DOWNFILL,
     "row_groups": _ROW_GROUPS,
+    "row_maps": f"""with h as (select file_id, lower({sql.strip("regexp_replace(coalesce(name, ''), '" + sql.Z + "+', ' ', 'g')")}) as name, i from (select file_id, unnest(header) as name, generate_subscripts(header, 1) as i from xlsx_files) where i > 1),
+v as (select file_id, row_no, i, {sql.strip("regexp_replace(coalesce(cells[i].v, ''), '" + sql.Z + "+', ' ', 'g')")} as val from (select *, unnest(range(2, 1 + (select max(len(header)) from xlsx_files)::bigint)) as i from xlsx_rows where len(list_filter(cells, lambda c: {sql.strip("coalesce(c.v, '')")} <> '')) > 0))
+select file_id, row_no as ord, name, arg_max(val, i) as val from h join v using (file_id, i) group by all""",
     "fragments_topk": _TOP + " select path_ord, frag_ord, score, rank from topk",
     "fragments_dedup": _DEDUP,
     "fragments_fallback": _FALLBACK,
     "path_batches": _BATCHES,
     "order_restore": 'select row_id, "分类" as path, seed_ord from xlsx_catalog left join (select path, max(cat_id) as seed_ord from category_ref group by path) s on "分类" = s.path',
-    "payload_sizes": """select domain, sum(case when page is null then 2 else length('{"page":' || page || '}') end)::bigint as chars, sum(case when page is null then 2 else length('{"page":' || page || '}') end) <= 120000 as single from documents group by domain""",
+    "payload_sizes": f"""with recursive {sql.TREES},
+dom as (select tax_id, coalesce(domain, 'general') as d, body from gbt_template),
+pnode as (select distinct d, path from tnode join dom using (tax_id)),
+pitem as (select d, path, list_sort(list_distinct(list(val))) as its from titem join dom using (tax_id) where trim(val) <> '' group by all),
+pleaf as (select d, list_filter(n.path, lambda p: p <> '') as path, its from pnode n left join pitem using (d, path) where not exists (select 1 from pnode m where m.d = n.d and m.path[1:len(m.path)-1] = n.path)),
+paths as (select d, string_agg('{{"path":' || to_json(path) || case when len(its) > 0 then ',"items":' || to_json(its) else '' end || '}}', ',') as j from (select d, path, its from pleaf where len(path) > 0) group by d),
+lv as (select d, string_agg(substring(l, 2, length(l) - 2), ',') as j from (select d, coalesce(body::json->'$.levels_definition', body::json->'$.taxonomy.levels_definition')::varchar as l from dom where tax_id in (select tax_id from trec) and json_valid(body)) where length(l) > 2 group by d),
+frag as (select coalesce(domain, 'general') as d, string_agg(case when page is null then json_object('text', text) else json_object('text', text, 'page', page) end::varchar, ',') as j from documents where text is not null group by 1),
+said as (select d, '{{"domain":' || to_json(d) || ',"seeds":{{"levels":[' || coalesce(lv.j, '') || '],"paths":[' || coalesce(paths.j, '') || ']}},"fragments":[' || frag.j || ']}}' as whole from frag left join paths using (d) left join lv using (d))
+select d as domain, length(whole) as chars, length(whole) <= 120000 as single from said""",
     "hierarchy_edges": _HIERARCHY,
     "prefix_filter": f"{_UNDER} select row_id, array_to_string(p, '/') as path from c where p[1:2] = ['港口航运', '货物装卸']",
     "distinct_at_depth": f"{_UNDER} select p[2] as name, count(*) as n_paths from c where p[1] = '港口航运' and p[2] is not null group by 1",
-    "grade_normalize": f"select row_id, {_grade_sql(chr(34) + '分级' + chr(34))} as grade, case lower(\"分级\") when 's1' then 1 when 's2' then 2 when 's3' then 3 when 's4' then 4 else 0 end as level from xlsx_catalog",
+    "grade_normalize": f"select row_id, {_grade_sql(chr(34) + '分级' + chr(34))} as grade, case {sql.norm(chr(34) + '分级' + chr(34))} when 's1' then 1 when 's2' then 2 when 's3' then 3 when 's4' then 4 else 0 end as level from xlsx_catalog",
     "header_normalize": f"select header, count(*) as n, {_header_sql('header')} as key from (select unnest(header) as header from xlsx_files) group by header",
     "compose_text": _COMPOSE,
     "parse_classification": _PARSE,

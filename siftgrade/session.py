@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Partitions up to which an input of fewer than there are cores is spread; no more than their size is moved.
+SPREAD_PARTITIONS = 256
 #: Rows a side may have before it is no longer broadcast; callers fall back to a shuffled join.
 BROADCAST_ROWS = 200_000
 
@@ -18,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset, one of our own."""
+    """The folder that all executors share: spark.checkpoint.dir; on one machine, where that is unset, one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -38,11 +42,11 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df over as many partitions as there are cores, for work that is heavy per row.
 
-    Only an input of fewer partitions is redistributed, such as a single small file; a larger one stays
-    as it is read. For frames whose plan has no exchange yet.
+    Only an input of few partitions is redistributed, such as a single small file; a larger one stays as
+    it is read. For frames whose plan has no exchange yet.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or not df.rdd.getNumPartitions() < min(cores, SPREAD_PARTITIONS):
         return df
     return df.repartition(cores)
 
