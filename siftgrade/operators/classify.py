@@ -34,6 +34,14 @@ def bind_headers(columns: list[str]) -> dict[str, str | None]:
     return {role: next((there[c] for c in names if c in there), None) for role, names in HEADERS.items()}
 
 
+def bound(header: Column) -> Column:
+    """The same of an array of headers: a struct of each role's place from 0, -1 where there is none."""
+    names = F.transform(header, lambda h: strip(F.coalesce(h, F.lit(""))))
+    last = lambda n: F.nullif(F.array_position(F.reverse(names), n), F.lit(0))
+    place = lambda ns: F.coalesce(*(F.size(names) - last(n) for n in ns), F.lit(-1)).cast("int")
+    return F.struct(*(place(ns).alias(role) for role, ns in HEADERS.items()))
+
+
 def facts(rows: DataFrame, key: str, roles: dict[str, str | None], sheet: str = "") -> DataFrame:
     """(key, the six text variables) of catalog rows; null and blank are ''."""
     have = lambda role: strip(F.coalesce(F.col(roles[role]).cast("string"), F.lit(""))) if roles.get(role) else F.lit("")

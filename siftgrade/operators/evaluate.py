@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import ratio, strip
 
 BUCKETS = ("high", "medium", "low")
 
@@ -25,6 +25,12 @@ def accuracies(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     return wide.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`.accuracy"), F.col(f"`{m}`.correct"), F.col(f"`{m}`.total")) for m in pairs))).alias("r")).select("r.*")
 
 
+def text_accuracy(df: DataFrame, truth: str, pred: str, missing: str = "nan") -> DataFrame:
+    """(accuracy, correct, total) of two columns compared as stripped texts, nulls being a text of their own."""
+    said = lambda c: strip(F.coalesce(F.col(c).cast("string"), F.lit(missing)))
+    return df.agg(*_accuracy(said(truth), said(pred)))
+
+
 def accuracy_by_confidence(df: DataFrame, truth: str, pred: str, confidence: str) -> DataFrame:
     """(bucket, accuracy, correct, total): the buckets in order, also those without rows."""
     spark = df.sparkSession
@@ -62,6 +68,19 @@ def guess_roles(columns: list[str], roles: dict[str, tuple[str, ...]]) -> dict[s
     return {r: next((c for w in words for c in columns if w.lower() in c.lower()), None) for r, words in roles.items()}
 
 
+def roles_in(header: Column, roles: dict[str, tuple[str, ...]]) -> Column:
+    """The same of an array of names: a struct of each role's place from 0, -1 where there is none."""
+    low = F.transform(header, lambda h: F.lower(F.coalesce(h, F.lit(""))))
+    place = lambda w: F.array_position(F.transform(low, lambda h: h.contains(w.lower())), True).cast("int")
+    first = lambda ws: F.coalesce(*(F.nullif(place(w), F.lit(0)) for w in ws), F.lit(0)) - 1
+    return F.struct(*(first(ws).alias(r) for r, ws in roles.items()))
+
+
+def preview(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
+    """The first rows of a table in an order."""
+    return df.orderBy(*order).limit(rows)
+
+
 def rows_json(df: DataFrame, texts: list[str], labels: list[str]) -> DataFrame:
     """(row): every row as JSON, its texts and labels apart."""
     part = lambda cs: F.struct(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in cs))

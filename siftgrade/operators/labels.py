@@ -131,6 +131,20 @@ def parse_classification(rows: DataFrame, raw: str, taxonomy: DataFrame) -> Data
     return j.withColumn("_g", got).select(*(rows[c] for c in rows.columns), F.col("_g.d").alias("domain"), F.col("_g.s1").alias("sub1"), F.col("_g.s2").alias("sub2"))
 
 
+def taxonomy_json(taxonomy: DataFrame) -> DataFrame:
+    """(domain, body): each domain of taxonomy(domain, sub1, sub2) as nested JSON."""
+    below = taxonomy.groupBy("domain", "sub1").agg(F.array_sort(F.collect_set("sub2")).alias("sub2s"))
+    tree = below.groupBy("domain").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("sub1", "sub2s")))).alias("m"))
+    return tree.select("domain", F.to_json(F.struct(F.create_map("domain", F.struct(F.col("m").alias("一级子类"))).alias("domains"))).alias("body"))
+
+
+def read_taxonomy(documents: DataFrame, body: str) -> DataFrame:
+    """(domain, sub1, sub2) of label taxonomies as nested JSON, a row per second-level name."""
+    parsed = documents.select(F.from_json(body, "domains map<string, struct<`一级子类`: map<string, array<string>>>>").alias("t"))
+    one = parsed.select(F.explode("t.domains").alias("domain", "d")).select("domain", F.explode(F.col("d.`一级子类`")).alias("sub1", "s"))
+    return one.select("domain", "sub1", F.explode("s").alias("sub2"))
+
+
 def heuristic_labels(name: Column, comment: Column, sample: Column) -> Column:
     """struct(l1, l2, l3, marker) by words in comment and name, then by the sample's pattern; nulls if none."""
     words = F.concat(F.lower(F.coalesce(comment, F.lit(""))), F.lower(F.coalesce(name, F.lit(""))))

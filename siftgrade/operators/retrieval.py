@@ -97,3 +97,19 @@ def request_chars(fragments: DataFrame, paths: DataFrame, levels: DataFrame, gro
     frame = extraction_payload(F.col(group), F.struct(none.alias("levels"), none.alias("paths")), none)
     chars = F.length(frame) + F.col("_f") + F.coalesce("_p", F.lit(0)) + F.coalesce("_l", F.lit(0))
     return out.select(group, chars.cast("long").alias("chars")).withColumn("single", F.col("chars") <= threshold)
+
+
+def requests(paths: DataFrame, groups: DataFrame, chosen: DataFrame, fragments: DataFrame, domain: str) -> DataFrame:
+    """(grp, payload): one extraction request for every group of paths, with its seeds and fragments.
+
+    paths(path_ord, path), groups(path_ord, grp), chosen(grp, frag_ord, place) of group_fragments(),
+    fragments(frag_ord, page, text). A group has as many paths as a batch and no more fragments than
+    group_fragments() leaves.
+    """
+    none = F.array().cast("array<string>")
+    seeds = paths.join(groups, "path_ord").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("path_ord", "path"))).alias("p"))
+    given = chosen.join(fragments.select("frag_ord", "page", "text"), "frag_ord").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("place", "page", "text"))).alias("f"))
+    both = seeds.join(given, "grp", "left")
+    seed = F.struct(none.alias("levels"), F.transform("p", lambda x: F.struct(x["path"].alias("path"))).alias("paths"))
+    texts = F.coalesce(F.transform("f", lambda x: F.struct(x["page"].alias("page"), x["text"].alias("text"))), F.array().cast("array<struct<page:int,text:string>>"))
+    return both.select("grp", extraction_payload(F.lit(domain), seed, texts).alias("payload"))

@@ -104,3 +104,16 @@ def reviewed(seeds: DataFrame, edits: DataFrame) -> DataFrame:
     both = seeds.join(e, "path", "left")
     out = F.when(F.col("gone").isNull(), F.col("items")).otherwise(F.array_union(renamed, F.col("more")))
     return both.select("path", F.filter(out, lambda i: F.trim(i) != "").alias("items"))
+
+
+def modes(documents: DataFrame, group: str) -> DataFrame:
+    """(group, n, mode): whether a group's templates are taken as one merged tree, or a single one as it is."""
+    n = documents.groupBy(group).agg(F.count("*").alias("n"))
+    return n.select(group, "n", F.when(F.col("n") > 1, "merged").otherwise("single").alias("mode"))
+
+
+def levels(documents: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, code, description): the level definitions of all templates together, none dropped."""
+    text = F.coalesce(F.get_json_object(body, "$.levels_definition"), F.get_json_object(body, "$.taxonomy.levels_definition"))
+    each = documents.select(key, F.explode(F.from_json(text, "array<struct<code: string, description: string>>")).alias("l"))
+    return each.select(key, "l.code", "l.description")
