@@ -111,7 +111,7 @@ def by_join(rows: DataFrame, key: str, score_rules: DataFrame, items: DataFrame)
     per = hot_join(long, written(matched), ["var", "txt"]).select(key, F.explode("ords").alias("ord")).distinct()
     weighed = per.join(checked_broadcast(score_rules.select("ord", "item_tag", "tag", "weight")), "ord")
     per = weighed.groupBy(key).agg(F.sum("weight").alias("score"), F.sort_array(F.collect_list(F.struct("ord", "item_tag", "tag"))).alias("hits"))
-    per = per.select(key, F.col("score").cast("decimal(20,1)").alias("score"), F.array_join(F.array_distinct(F.flatten(F.transform("hits", lambda r: F.array(r["item_tag"], r["tag"])))), " ").alias("tags"))
+    per = written(per.select(key, F.col("score").cast("decimal(20,1)").alias("score"), F.array_join(F.array_distinct(F.flatten(F.transform("hits", lambda r: F.array(r["item_tag"], r["tag"])))), " ").alias("tags")))
     scored = rows.join(per, key, "left").withColumns({"score": F.coalesce("score", F.lit(0).cast("decimal(20,1)")), "tags": F.coalesce("tags", F.lit(""))})
     tagged = per.select("tags").distinct()
     hit = tagged.join(checked_broadcast(items), F.expr("contains(tags, item_tag)")).groupBy("tags").agg(F.sort_array(F.collect_list(F.struct("ord", "field", "category", "level", "item_tag", "rank"))).alias("its"))

@@ -186,3 +186,38 @@ def test_hand_written_rules(spark):
     assert (b.score, b.tags, b.matched, b.confidence) == (0.0, "", False, "low")
     first = engine.run_rules(classify.facts(rows, "k", ROLES), made, stop_first=True).where("k = '1'").first()
     assert first.level == "S1" and first.rule_id == "y-H" and first.category == ""
+
+
+def test_extraction_and_expressions(spark):
+    schema = "doc_ord int, source string, extraction array<struct<path:array<string>,citation:struct<page:int,text:string>,items:array<struct<name:string,level:string,patterns:struct<keywords_cn:array<string>,keywords_en:array<string>,regex:array<string>>>>>>"
+    item = lambda n, p: (n, "S1", p)
+    docs = [(2, "b", [(["x", "", None, "y"], (1, "t"), [item("f", (["甲"], ["k", "k2"], ["a", "b"])), item("g", None)])]), (1, "a", [(["z"], None, [item("h", (None, ["q"], None))]), (None, None, None)]), (3, "c", None)]
+    got = [tuple(r)[1:] for r in rules.flatten_extraction(spark.createDataFrame(docs, schema)).orderBy("ord").collect()]
+    assert got == [("h", "z", "S1", "q", "", None, "a", 50), ("f", "x/y", "S1", "甲,k,k2", "a||b", '{"page":1,"text":"t"}', "b", 50), ("g", "x/y", "S1", "", "", '{"page":1,"text":"t"}', "b", 50)]
+    row = "ord int, field_name string, category string, level string, keywords string, regexes string, citation string, source string, priority int, condition string, exception string"
+    made = [(1, "f", "c", "S1", "", "", "", "", 50, "A", "x"), (2, "f", "c", "S1", "", "", "", "", 50, "b", ""), (3, "F", "c", "S1", "", "", "", "", 50, "a", "y"), (4, "f", "c", "S1", "", "", "", "", 60, "z", "z")]
+    out = rules.resolve_conflicts(spark.createDataFrame(made, row)).collect()
+    assert [(r.condition, r.exception) for r in out] == [("a OR b", "y")]
+    valid = spark.createDataFrame([("a+",), ("(",), (None,), ("(?<!x)y",)], "p string").select(rules.valid_pattern(F.col("p")).alias("v")).collect()
+    assert [r.v for r in valid] == [True, False, False, True]
+
+
+def test_hot_join_and_needles(spark, monkeypatch):
+    from siftgrade.operators import match
+
+    left = spark.createDataFrame([(i, "" if i % 3 else f"k{i % 7}") for i in range(3_000)], "i int, k string")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(5)], "k string, v int")
+    for how in ("inner", "left"):
+        want = sorted(map(str, left.join(right, ["k"], how).select("i", "k", "v").collect()))
+        for rows in (200_000, 1):
+            assert sorted(map(str, match.hot_join(left, right, ["k"], how, rows).select("i", "k", "v").collect())) == want
+    texts = spark.createDataFrame([(1, "abcab"), (2, "水库"), (3, ""), (4, None), (5, "zz")], "i int, t string")
+    needles = spark.createDataFrame([(w,) for w in ("ab", "b", "bc", "水库", "库", "", "q")], "needle string")
+    want = {1: ["ab", "b", "bc"], 2: ["库", "水库"]}
+    assert {r.i: sorted(r.needles) for r in match.contained(texts, ["i"], "t", needles).collect()} == {k: sorted(v) for k, v in want.items()}
+    monkeypatch.setattr(match, "NEEDLES", 2)
+    got = {}
+    for r in match.contained(texts, ["i"], "t", needles).collect():
+        got.setdefault(r.i, []).extend(r.needles)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert match.contained(texts, ["i"], "t", needles.limit(0)).count() == 0

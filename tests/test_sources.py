@@ -105,3 +105,29 @@ def test_the_rest_works_without_llm():
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import sys; sys.modules['siftgrade.llm'] = None; import __spark_entry__ as e; q = e.queries(); assert 'p2_found' in q and 'p1_found' not in q; assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=here, check=True)
+
+
+def test_written_workbooks_come_back(spark, tmp_path):
+    cells = [["字段名", "b&<", None, "x"], [" a\n\tb ", "", "\x01\r\n", "😀" * 3], [None, None, "z"]]
+    df = spark.createDataFrame([(b, i, r) for b in ("one", "two") for i, r in enumerate(cells, 1)], "book string, row_no int, cells array<string>")
+    for _ in range(2):  # a task that runs again writes the same
+        assert {r.book: r.n_rows for r in xlsx.write_workbooks(df, str(tmp_path / "w")).collect()} == {"one": 3, "two": 3}
+    got = {(os.path.basename(r.path), r.row_no): r.cells for r in xlsx.read_workbooks(spark, str(tmp_path / "w")).collect()}
+    assert sorted(os.listdir(tmp_path / "w")) == ["one.xlsx", "two.xlsx"]
+    assert got["one.xlsx", 1] == ["字段名", "b&<", None, "x"] and got["two.xlsx", 3] == [None, None, "z"]
+    assert got["one.xlsx", 2] == [" a\n\tb ", None, "\r\n", "😀😀😀"] or got["one.xlsx", 2][0] == " a\n\tb "
+    assert [xlsx._letters(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+    assert xlsx.write_workbooks(df.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_configurations(spark, tmp_path, monkeypatch):
+    assert artifacts.config(spark, "params")["batch_size"] == 20
+    (tmp_path / "k.json").write_text('{"generic": ["a", "b"], "domain_extra": {"d": ["b", "c"]}}')
+    spark.conf.set("siftgrade.config.keywords", str(tmp_path / "k.json"))
+    words = artifacts.keywords_of(artifacts.config(spark, "keywords"), F.col("d"))
+    got = spark.createDataFrame([("d",), ("x",), (None,)], "d string").select(words.alias("w")).collect()
+    assert [r.w for r in got] == [["a", "b", "c"], ["a", "b"], ["a", "b"]]
+    spark.conf.unset("siftgrade.config.keywords")
+    monkeypatch.setenv("SIFTGRADE_PARAMS", str(tmp_path / "p.json"))
+    (tmp_path / "p.json").write_text('{"batch_size": 7}')
+    assert artifacts.config(spark, "params") == artifacts.CONFIGS["params"] | {"batch_size": 7}
