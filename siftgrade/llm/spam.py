@@ -11,11 +11,13 @@ Two measures decide together:
   maximal substrings cover. Where they come back at least once per KEYWORD_EVERY characters they are
   keywords. Of pages that are suspect so far a second automaton, over the characters, measures the cover.
 
-Characters are suspect in segments without clause structure, and where keywords stand. A page is spam if
-most of it is suspect and repetition covers at least LEAST_REPEATED more of its suspect letters than of
-the same characters shuffled, so that names, headings or figures that don't repeat themselves are no
-spam. Numbers are no clause tokens, and count as one digit in that cover, or goods lines would differ by
-their prices.
+Characters are suspect in segments without clause structure, and where keywords stand. A segment with a
+few clause tokens may be a clause that has lost its marks, and stand twice like any passage: there
+characters are suspect only under substrings that the page repeats three times. A page is spam if most
+of it is suspect and repetition covers at least LEAST_REPEATED more of its suspect letters than of the
+same characters shuffled, so that names, headings or figures that don't repeat themselves are no spam.
+Numbers are no clause tokens, and count as one digit in that cover, or goods lines would differ by their
+prices.
 
 Defined cases: null and empty texts give no row; a page without any repetition is no spam however
 short; one passage over and over is keywords. Texts of any length are measured whole. Beyond
@@ -40,8 +42,9 @@ from ..session import spread, written
 MOST_PROSE, LEAST_REPEATED = 0.5, 0.15
 #: Clause tokens: share of all pages they are on, and how much more often in sentences than in fragments, at least.
 LEAST_SPREAD, AFFINITY = 0.01, 10.0
-#: Share of a segment's tokens that are clause tokens, at least, where it has clause structure.
-DENSITY = 0.125
+#: Share of a segment's tokens that are clause tokens, at least, where it has clause structure; from DOUBT of them and that
+#: share on it may have, and only what it repeats DOUBT_TIMES is suspect.
+DENSITY, DOUBT, DOUBT_SHARE, DOUBT_TIMES = 0.125, 2, 0.0625, 3
 #: Keywords: characters per occurrence at most, occurrences and tokens at least.
 KEYWORD_EVERY, KEYWORD_TIMES, KEYWORD_HAN, KEYWORD_WORDS = 100, 5, 4, 2
 #: Lengths in characters of repeated substrings in a page mostly of single tokens, and in another, beside that of chance.
@@ -113,13 +116,15 @@ class Pages:
         texts = pd.unique(text * max(1, n) + which) % max(1, n)
         return tokens, np.bincount(which[said], minlength=n), np.bincount(which[~said], minlength=n), np.bincount(texts, minlength=n)
 
-    def bare(self, clause: np.ndarray) -> np.ndarray:
-        """Which segments lack clause structure, given the sorted clause tokens."""
+    def bare(self, clause: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which segments lack clause structure, and which of them may have it after all, given the sorted clause tokens."""
         at = np.searchsorted(clause, self.token)
         hit = clause[np.minimum(at, len(clause) - 1)] == self.token if len(clause) else np.zeros(len(self.token), bool)
         hit &= ~self.number
         n = np.bincount(self.of, minlength=len(self.chars))
-        return np.bincount(self.of[hit], minlength=len(self.chars)) < np.maximum(1, DENSITY * n)
+        hits = np.bincount(self.of[hit], minlength=len(self.chars))
+        bare = hits < np.maximum(1, DENSITY * n)
+        return bare, bare & (hits >= np.maximum(DOUBT, DOUBT_SHARE * n))
 
 
 class Automaton:
@@ -251,7 +256,7 @@ def above_chance(code: np.ndarray, suspect: np.ndarray, han: bool) -> float:
 def judged(texts: list[str], clause: np.ndarray) -> list[tuple[float, float, float]]:
     """(share without clause structure, suspect share, cover of suspect letters by repetition above chance) of each text."""
     pages = Pages(texts)
-    bare = pages.bare(clause)
+    bare, doubtful = pages.bare(clause)
     out = []
     for i in range(len(texts)):
         low, high, a, b = pages.offset[i], pages.offset[i + 1] - 1, pages.cut[i], pages.cut[i + 1]
@@ -266,8 +271,11 @@ def judged(texts: list[str], clause: np.ndarray) -> list[tuple[float, float, flo
         start, size = pages.start[a:b] - low, pages.size[a:b].copy()
         size[-1] = length - start[-1]
         if bare_share > MOST_PROSE or bare_share + size[tokens.cover(least)].sum() / length > MOST_PROSE:  # else no keyword can make most of it suspect
+            doubt = doubtful[pages.seg[low:high]]
             often = tokens.cover(least, max(KEYWORD_TIMES, -(-length // KEYWORD_EVERY)))
-            suspect = suspect | np.concatenate((np.zeros(start[0], bool), np.repeat(often, size)))
+            if doubt.any():
+                often = often | doubt[start] & tokens.cover(least, DOUBT_TIMES)
+            suspect = suspect & ~doubt | np.concatenate((np.zeros(start[0], bool), np.repeat(often, size)))
         share = float(suspect.mean())
         out.append((bare_share, share, above_chance(pages.code[low:high], suspect, han) if share > MOST_PROSE else 0.0))
     return out

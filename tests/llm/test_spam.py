@@ -58,6 +58,7 @@ PAGES = {
     "some links": (SENTENCES * 4 + "\n[1] https://a.example/x\n[2] https://a.example/y", False),
     "mostly tags": (SENTENCES + "\n" + "#泊位 #航道 " * 60, True),
     "unpunctuated": ("雨过后厂区的岩芯旁多出261袋未贴签的起点记录纸有人主张照配比处置也有人坚持它更像切图配置争执持续了929个钟头" * 2, False),
+    "passage twice": ("两套口径算出的预约结论相差35997谁也说不清哪一套先启用有人主张照变化检测样本处置也有人坚持它更像控制点之记争执持续了479个钟头值班日志显示凌晨142点粮堆曾被短暂借走归还时少了附件" + "\n两套口径算出的预约结论相差35997，\n谁也说不清哪一套先启用，\n有人主张照变化检测样本处置，\n也有人坚持它更像控制点之记" + "\n" + SENTENCES, False),
     "short": ("字段表", False),
 }
 
@@ -113,6 +114,16 @@ def test_both_measures_decide(spark):
     assert sorted(r.doc_id for r in spam.spam(df, "doc_id", "text", clause).collect()) == [i for i, (_, want) in enumerate(STUFFED.values()) if want]
 
 
+def test_sparse_clause_tokens_need_threefold_repetition(spark):
+    clause = prose(spark)
+    passage = "由".join(WORD(11) for _ in range(12))
+    twice, often = spam.judged([passage + "\n" + passage, "\n".join([passage] * 4)], clause)
+    assert twice[0] > spam.MOST_PROSE and twice[1] == 0.0
+    assert often[1] > spam.MOST_PROSE and often[2] >= spam.LEAST_REPEATED
+    none = passage.replace("由", WORD(1))
+    assert spam.judged([none + "\n" + none], clause)[0][1] > spam.MOST_PROSE
+
+
 def test_long_pages_give_the_same(monkeypatch, spark):
     clause = prose(spark)
     texts = [t for t, _ in [*PAGES.values(), *STUFFED.values()]] + ["", "\n", "x"]
