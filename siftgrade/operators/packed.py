@@ -131,8 +131,8 @@ def split_packed(rows: DataFrame, key: str, fields: dict[str, str]) -> DataFrame
     rules = rules_of(shapes.select("kind", "shape"))
     if size.n <= BROADCAST_RULES and size.chars <= BROADCAST_CHARS:
         ruled = long.join(F.broadcast(rules), ["kind", "shape"])
-    else:  # one shape may hold a third of the rows
-        salted = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    else:  # one shape may hold a third of the rows; by its file size Spark would broadcast the rules, of which there are SALTS times as many
+        salted = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
         ruled = long.withColumn("salt", F.pmod(F.xxhash64("_key", "fld"), F.lit(SALTS)).cast("int")).join(salted, ["kind", "shape", "salt"])
     # the values stand in an array of one: a plain filter on their number would compute them twice
     several = F.filter(F.array(F.struct(_values(set(fields.values())).alias("values"))), lambda f: F.size(f["values"]) > 1)

@@ -124,6 +124,16 @@ def test_salted_rules_give_the_same(spark, monkeypatch):
     assert split(spark, rows) == want
 
 
+def test_salted_rules_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(packed, "BROADCAST_RULES", 0)
+    df = spark.createDataFrame([(i, "a,b" if i % 3 else f"a;{i}", None) for i in range(60)], "id long, a string, b string")
+    out = packed.split_packed(df, "id", {"a": "keywords", "b": "expressions"})
+    assert out.count() == 120
+    plan = out._jdf.queryExecution().executedPlan()
+    out.collect()
+    assert "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
+
+
 def test_long_fields_are_read_like_short_ones(spark):
     marks = "[,a/、'b;c\"|d，" + "".join(f"{chr(97 + i % 26)}{m}{chr(98 + i % 7)}{m}" for i, m in enumerate(",、'/\";|" * 120))
     rows = [(1, None, "[,a/、'b]{2}"), (2, None, marks + "]{2}"), (3, None, marks + "]"), (4, None, marks + "]；x"), (5, None, '["a,b",' + ",".join(f'"{i}"' for i in range(500)) + "]")]
